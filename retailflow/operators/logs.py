@@ -16,19 +16,20 @@ def parse_logs(lines: DataFrame, value: str = "value") -> DataFrame:
     """Parse log text into the log columns; the text stays as ``value`` and ``dirty`` marks bad text.
 
     Spark's parser takes blank text for an all-null record and ignores text after the closing brace, so
-    both are tested on the text itself.
+    both are tested on the text itself.  The parsed record passes through a generator, which keeps the
+    optimizer from copying the parser into every filter above it: each text is parsed once.
     """
     schema = T.StructType([*schemas.LOG.fields, T.StructField(_CORRUPT, T.StringType())])
     parsed = F.from_json(
         F.col(value), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     )
-    text_ok = F.coalesce(F.col(value).rlike(r"^\s*\{[\s\S]*\}\s*$"), F.lit(False))
+    text = F.btrim(F.col(value), F.lit(" \t\r\n"))
+    text_ok = F.coalesce(text.startswith("{") & text.endswith("}"), F.lit(False))
+    checked = F.struct(text_ok.alias("_text_ok"), parsed.alias("_log"))
     others = [c for c in lines.columns if c != value]
-    return (
-        lines.withColumn("_log", parsed)
-        .withColumn("dirty", ~text_ok | F.col(f"_log.{_CORRUPT}").isNotNull())
-        .select(*others, F.col(value).alias("value"), "dirty",
-                *[F.col(f"_log.{f.name}").alias(f.name) for f in schemas.LOG.fields])
+    return lines.select(*others, F.col(value).alias("value"), F.inline(F.array(checked))).select(
+        *others, "value", (~F.col("_text_ok") | F.col(f"_log.{_CORRUPT}").isNotNull()).alias("dirty"),
+        *[F.col(f"_log.{f.name}").alias(f.name) for f in schemas.LOG.fields],
     )
 
 
