@@ -9,6 +9,8 @@ The order join can be bounded in event time for streaming use: see `retailflow.s
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from retailflow import schemas
@@ -19,6 +21,10 @@ from retailflow.operators.changelog import (
 from retailflow.operators.lookup import dictionary_join
 
 
+# Extra columns of the change rows to carry along, such as an event time.
+Keep = Sequence[str]
+
+
 def with_operation_time(fact: DataFrame, name: str = "row_op_ts") -> DataFrame:
     """Stamp the time of writing; it is constant within one batch."""
     return fact.withColumn(name, F.current_timestamp())
@@ -46,29 +52,31 @@ def cart_add(changes: DataFrame, dictionary: DataFrame, database: str | None = N
 # --- orders -----------------------------------------------------------------------------------------
 
 
-def order_details(changes: DataFrame, database: str | None = None) -> DataFrame:
-    return of_table(changes, "order_detail", [INSERT], database).select(*table_columns("order_detail"))
+def order_details(changes: DataFrame, database: str | None = None, keep: Keep = ()) -> DataFrame:
+    return of_table(changes, "order_detail", [INSERT], database).select(
+        *table_columns("order_detail"), *keep
+    )
 
 
-def order_states(changes: DataFrame, database: str | None = None) -> DataFrame:
+def order_states(changes: DataFrame, database: str | None = None, keep: Keep = ()) -> DataFrame:
     """Every version of an order: its insert and all later updates, with operation type and old values."""
     names = [c for c in schemas.SOURCE_KEYS["order_info"] if c not in ("id", "create_time")]
     return of_table(changes, "order_info", [INSERT, UPDATE], database).select(
-        _data("id").alias("order_id"), *fields(names), "type", "old"
+        _data("id").alias("order_id"), *fields(names), "type", "old", *keep
     )
 
 
-def order_activities(changes: DataFrame, database: str | None = None) -> DataFrame:
+def order_activities(changes: DataFrame, database: str | None = None, keep: Keep = ()) -> DataFrame:
     return of_table(changes, "order_detail_activity", [INSERT], database).select(
         _data("order_detail_id").alias("id"), _data("id").alias("order_detail_activity_id"),
-        *fields(["activity_id", "activity_rule_id"]),
+        *fields(["activity_id", "activity_rule_id"]), *keep,
     )
 
 
-def order_coupons(changes: DataFrame, database: str | None = None) -> DataFrame:
+def order_coupons(changes: DataFrame, database: str | None = None, keep: Keep = ()) -> DataFrame:
     return of_table(changes, "order_detail_coupon", [INSERT], database).select(
         _data("order_detail_id").alias("id"), _data("id").alias("order_detail_coupon_id"),
-        *fields(["coupon_id", "coupon_use_id"]),
+        *fields(["coupon_id", "coupon_use_id"]), *keep,
     )
 
 
@@ -105,12 +113,20 @@ def order_cancel(wide: DataFrame) -> DataFrame:
 # --- payments and refunds ---------------------------------------------------------------------------
 
 
-def payments(changes: DataFrame, database: str | None = None) -> DataFrame:
+def payments(changes: DataFrame, database: str | None = None, keep: Keep = ()) -> DataFrame:
     return of_table(changes, "payment_info", [UPDATE], database).filter(
         _data("payment_status") == schemas.PAYMENT_PAID
     ).select(
         _data("order_id").alias("order_id"), _data("payment_type").alias("payment_type_code"),
-        _data("callback_time").alias("callback_time"),
+        _data("callback_time").alias("callback_time"), *keep,
+    )
+
+
+def shape_pay_detail(joined: DataFrame, keep: Keep = ()) -> DataFrame:
+    return (
+        joined.withColumnRenamed("id", "order_detail_id")
+        .withColumnRenamed("split_total_amount", "split_payment_amount")
+        .select(*schemas.PAY_DETAIL, *keep)
     )
 
 
@@ -121,33 +137,66 @@ def pay_detail(
     paid = dictionary_join(
         payments(changes, database), dictionary, "payment_type_code", "payment_type_name"
     )
-    return (
-        details.join(paid, "order_id", "inner")
-        .withColumnRenamed("id", "order_detail_id")
-        .withColumnRenamed("split_total_amount", "split_payment_amount")
-        .select(*schemas.PAY_DETAIL)
-    )
+    return shape_pay_detail(details.join(paid, "order_id", "inner"))
 
 
-def _orders_moved_to(changes: DataFrame, status: str, names: list[str], database: str | None) -> DataFrame:
+def orders_moved_to(
+    changes: DataFrame, status: str, names: list[str], database: str | None = None, keep: Keep = ()
+) -> DataFrame:
+    """Orders whose update changed their status to the given one."""
     return of_table(changes, "order_info", [UPDATE], database).filter(
         (_data("order_status") == status) & changed("order_status")
-    ).select(_data("id").alias("order_id"), *fields(names))
+    ).select(_data("id").alias("order_id"), *fields(names), *keep)
 
 
-def order_refund(changes: DataFrame, dictionary: DataFrame, database: str | None = None) -> DataFrame:
-    """Refund requests of orders that moved to the refund status, with type and reason named."""
+def refund_requests(
+    changes: DataFrame, dictionary: DataFrame, database: str | None = None, keep: Keep = ()
+) -> DataFrame:
+    """Refund requests with type and reason named: the dictionary is joined once for each code."""
     requests = of_table(changes, "order_refund_info", [INSERT], database).select(
-        *table_columns("order_refund_info"), "ts"
+        *table_columns("order_refund_info"), "ts", *keep
     )
     named = dictionary_join(requests, dictionary, "refund_type", "refund_type_name")
-    named = dictionary_join(named, dictionary, "refund_reason_type", "refund_reason_type_name")
-    orders = _orders_moved_to(changes, schemas.ORDER_REFUND_REQUESTED, ["province_id"], database)
-    return named.join(orders, "order_id", "inner").select(
+    return dictionary_join(named, dictionary, "refund_reason_type", "refund_reason_type_name")
+
+
+def shape_order_refund(joined: DataFrame, keep: Keep = ()) -> DataFrame:
+    return joined.select(
         "id", "user_id", "order_id", "sku_id", "province_id", date_id(F.col("create_time")).alias("date_id"),
         "create_time", F.col("refund_type").alias("refund_type_code"), "refund_type_name",
         F.col("refund_reason_type").alias("refund_reason_type_code"), "refund_reason_type_name",
-        "refund_reason_txt", "refund_num", "refund_amount", "ts",
+        "refund_reason_txt", "refund_num", "refund_amount", "ts", *keep,
+    )
+
+
+def order_refund(changes: DataFrame, dictionary: DataFrame, database: str | None = None) -> DataFrame:
+    """Refund requests of orders that moved to the refund status, with type and reason named."""
+    orders = orders_moved_to(changes, schemas.ORDER_REFUND_REQUESTED, ["province_id"], database)
+    requests = refund_requests(changes, dictionary, database)
+    return shape_order_refund(requests.join(orders, "order_id", "inner"))
+
+
+def refund_payments(
+    changes: DataFrame, dictionary: DataFrame, database: str | None = None, keep: Keep = ()
+) -> DataFrame:
+    rows = of_table(changes, "refund_payment", database=database).select(
+        *table_columns("refund_payment"), "ts", *keep
+    )
+    return dictionary_join(rows, dictionary, "payment_type", "payment_type_name")
+
+
+def refunded_items(changes: DataFrame, database: str | None = None, keep: Keep = ()) -> DataFrame:
+    return of_table(changes, "order_refund_info", database=database).select(
+        *fields(["order_id", "sku_id", "refund_num"]), *keep
+    )
+
+
+def shape_refund_paid(joined: DataFrame, keep: Keep = ()) -> DataFrame:
+    return joined.select(
+        "id", "user_id", "order_id", "sku_id", "province_id",
+        F.col("payment_type").alias("payment_type_code"), "payment_type_name",
+        date_id(F.col("callback_time")).alias("date_id"), "callback_time", "refund_num",
+        F.col("total_amount").alias("refund_amount"), "ts", *keep,
     )
 
 
@@ -156,27 +205,11 @@ def refund_paid(changes: DataFrame, dictionary: DataFrame, database: str | None
 
     Refund payments and refund requests are taken with any operation type and status.
     """
-    paid = dictionary_join(
-        of_table(changes, "refund_payment", database=database).select(
-            *table_columns("refund_payment"), "ts"
-        ),
-        dictionary, "payment_type", "payment_type_name",
-    )
-    orders = _orders_moved_to(
-        changes, schemas.ORDER_REFUND_PAID, ["user_id", "province_id"], database
-    )
-    requests = of_table(changes, "order_refund_info", database=database).select(
-        *fields(["order_id", "sku_id", "refund_num"])
-    )
-    return (
-        paid.join(orders, "order_id", "inner")
-        .join(requests, ["order_id", "sku_id"], "inner")
-        .select(
-            "id", "user_id", "order_id", "sku_id", "province_id",
-            F.col("payment_type").alias("payment_type_code"), "payment_type_name",
-            date_id(F.col("callback_time")).alias("date_id"), "callback_time", "refund_num",
-            F.col("total_amount").alias("refund_amount"), "ts",
-        )
+    paid = refund_payments(changes, dictionary, database)
+    orders = orders_moved_to(changes, schemas.ORDER_REFUND_PAID, ["user_id", "province_id"], database)
+    requests = refunded_items(changes, database)
+    return shape_refund_paid(
+        paid.join(orders, "order_id", "inner").join(requests, ["order_id", "sku_id"], "inner")
     )
 
 

@@ -1,0 +1,43 @@
+from __future__ import annotations
+
+import random
+
+from retailflow.functions.keywords import explode_words
+
+
+def segment(text, words):
+    """Plain replay of the rule for one text."""
+    import re
+
+    out = re.findall("[a-z0-9]+", text.lower())
+    for run in re.findall("[一-鿿]+", text):
+        covered = set()
+        for i in range(len(run)):
+            for size in range(1, 7):
+                if i + size <= len(run) and run[i:i + size] in words:
+                    out.append(run[i:i + size])
+                    covered.update(range(i, i + size))
+        out += [c for i, c in enumerate(run) if i not in covered]
+    return sorted(out)
+
+
+def test_latin_only(spark):
+    df = spark.createDataFrame([(1, "Apple iPhone 13, Pro!"), (2, "。"), (3, None)], "id INT, item STRING")
+    got = sorted((r["id"], r["word"]) for r in explode_words(df, "item").collect())
+    assert got == [(1, "13"), (1, "apple"), (1, "iphone"), (1, "pro")]
+
+
+def test_words_overlap_and_single_characters(spark):
+    words = {"手机", "小米", "小米手机", "手机壳", "的"}
+    rng = random.Random(5)
+    alphabet = "小米手机壳的新a1 "
+    texts = ["小米手机壳", "新的手机", "小米"] * 40 + [
+        "".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 14))) for _ in range(60)
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "id INT, item STRING")
+    table = spark.createDataFrame([(w,) for w in words], "word STRING")
+    got = {}
+    for row in explode_words(df, "item", table).collect():
+        got.setdefault(row["id"], []).append(row["word"])
+    assert {i: sorted(v) for i, v in got.items()} == {
+        i: segment(t, words) for i, t in enumerate(texts) if segment(t, words)}
