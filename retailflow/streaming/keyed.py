@@ -40,15 +40,20 @@ def _schema(df: DataFrame, names: Sequence[str], *added: str) -> StructType:
 
 def day_changes(
     df: DataFrame, key: str | Sequence[str], ts: str, keep: Sequence[str],
-    ttl_millis: int | None = DAY_MILLIS,
+    ttl_millis: int | None = DAY_MILLIS, lateness: str = "1 day",
 ) -> DataFrame:
     """Rows whose day differs from the last day seen for their key, with that day as ``previous_day``.
 
-    Output: the ``keep`` columns, ``day`` and ``previous_day`` (null for a key never seen).
+    Output: the ``keep`` columns, ``day`` and ``previous_day`` (null for a key never seen).  A key is
+    forgotten ``ttl_millis`` of event time after its last row, or never when that is None; rows are sent at
+    once, ``lateness`` only decides how late a row may come while keys are being forgotten.
     """
     keys = as_list(key)
     keep = list(keep)
-    clocked = _with_clock(df, ts).select(*dict.fromkeys([*keys, *keep]), "_ms", "_day")
+    expires = ttl_millis is not None
+    clocked = _with_clock(df, ts).select(*dict.fromkeys([*keys, *keep, ts]), "_ms", "_day")
+    if expires:
+        clocked = clocked.withWatermark(ts, lateness)
     output = _schema(clocked, keep, "day", "previous_day")
 
     def step(_key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -56,23 +61,24 @@ def day_changes(
             state.remove()
             return
         # One row per day survives from each Arrow batch, so a hot key stays small.
-        firsts = [b.sort_values("_ms", kind="stable").drop_duplicates("_day") for b in batches]
+        newest = 0
+        firsts = []
+        for batch in batches:
+            newest = max(newest, int(batch["_ms"].max()))
+            firsts.append(batch.sort_values("_ms", kind="stable").drop_duplicates("_day"))
         rows = pd.concat(firsts).sort_values("_ms", kind="stable").drop_duplicates("_day")
-        last = state.get[0] if state.exists else None
-        previous = rows["_day"].shift(1)
-        previous.iloc[0] = last
+        previous = rows["_day"].shift(1).astype(object)
+        previous.iloc[0] = state.get[0] if state.exists else None
         changed = rows["_day"] != previous
         out = rows.loc[changed, keep].copy()
         out["day"] = rows.loc[changed, "_day"]
-        out["previous_day"] = previous[changed].astype(object).where(previous[changed].notna(), None)
+        out["previous_day"] = previous[changed]
         state.update((rows["_day"].iloc[-1],))
-        if ttl_millis is not None:
-            state.setTimeoutDuration(ttl_millis)
+        if expires:
+            state.setTimeoutTimestamp(newest + ttl_millis)
         yield out
 
-    timeout = (
-        GroupStateTimeout.NoTimeout if ttl_millis is None else GroupStateTimeout.ProcessingTimeTimeout
-    )
+    timeout = GroupStateTimeout.EventTimeTimeout if expires else GroupStateTimeout.NoTimeout
     return clocked.groupBy(*keys).applyInPandasWithState(step, output, _ONE_TEXT, "append", timeout)
 
 
@@ -171,7 +177,8 @@ def keep_latest(
     """Newest version of each key, sent once, ``hold_millis`` after the key's first row.
 
     Equal versions are decided by later arrival.  After sending, the key is forgotten, so a row that comes
-    later is sent again.  ``version`` is a timestamp.
+    later is sent again.  ``version`` is a timestamp.  The hold is measured in processing time, so the
+    query must run on a repeating trigger; one that takes what is there and stops would never end.
     """
     keep = list(keep)
     packed = df.select(
