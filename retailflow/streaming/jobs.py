@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from retailflow.operators import logs, visits, windows
 from retailflow.operators.ordered import order_key
 from retailflow.plans import dims
 from retailflow.session import checkpoint_root
-from retailflow.sinks.tables import KeyedTable, append_lines, write_batch
+from retailflow.sinks.tables import KeyedTable, append_lines, keyed_table, write_batch
 from retailflow.streaming import keyed
 
 # Event-time delays. The rollup waits for the bounce span.
@@ -51,16 +51,18 @@ def table_writer(path: str, partition_by: Sequence[str] = ()) -> BatchWriter:
 # --- log split --------------------------------------------------------------------------------------
 
 
-def log_splitter(
-    spark: SparkSession, first_visits: str, outputs: str, value: str = "value"
-) -> BatchWriter:
+def first_visit_table(path: str) -> KeyedTable:
+    """First day of each device.  Every device is stored once, by the batch that saw it first."""
+    return keyed_table(path, "mid", [])
+
+
+def log_splitter(first_visits: KeyedTable, outputs: str, value: str = "value") -> BatchWriter:
     """Batch writer that parses log text, repairs the new-visitor flag and writes the six outputs.
 
-    The first day of each device is kept in an append-only table under ``first_visits``: a batch adds only
-    devices never seen before.  Outputs are folders ``dirty``, ``error``, ``start``, ``display``,
+    A batch adds only devices never seen before to ``first_visits``; ``first_visits.compact`` folds the
+    batches from time to time.  Outputs are folders ``dirty``, ``error``, ``start``, ``display``,
     ``action`` and ``page``.
     """
-    schema = "mid STRING, first_day DATE, batch INT"
 
     def write(lines: DataFrame, batch_id: int) -> None:
         session = lines.sparkSession
@@ -71,21 +73,18 @@ def log_splitter(
                 "_day", F.timestamp_millis("ts").cast("date")
             ).withColumn("_mid", F.col("common.mid"))
             is_new = F.col("common.is_new").eqNullSafe("1")
-            candidates = clean.filter("_mid is not null").groupBy(F.col("_mid").alias("mid")).agg(
+            seen = clean.filter("_mid is not null").groupBy(F.col("_mid").alias("mid")).agg(
                 F.min_by(F.when(is_new, F.col("_day")).otherwise(F.date_sub("_day", 1)),
                          order_key(["ts"])).alias("first_day")
             )
             # Only earlier batches count as known, so a repeated batch gives the same rows.
-            known = session.read.schema(schema).parquet(
-                first_visits
-            ).filter(F.col("batch") < batch_id) if _exists(session, first_visits) else None
-            fresh = candidates if known is None else candidates.join(known, "mid", "left_anti")
-            write_batch(fresh, first_visits, batch_id)
-            visits_so_far = session.read.schema(schema).parquet(first_visits).filter(
-                F.col("batch") <= batch_id
-            ).select(F.col("mid").alias("_mid"), "first_day")
+            known = first_visits.rows(session, before=batch_id)
+            first_visits.merge(seen if known is None else seen.join(known, "mid", "left_anti"), batch_id)
+            first_days = first_visits.rows(session, before=batch_id + 1).select(
+                F.col("mid").alias("_mid"), "first_day"
+            )
             late = is_new & (F.col("_day") != F.col("first_day"))
-            repaired = clean.join(visits_so_far, "_mid", "left").withColumn(
+            repaired = clean.join(first_days, "_mid", "left").withColumn(
                 "common", F.col("common").withField(
                     "is_new", F.when(late, F.lit("0")).otherwise(F.col("common.is_new")))
             ).drop("_mid", "_day", "first_day").persist()
@@ -101,12 +100,6 @@ def log_splitter(
     return write
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
-
-
 # --- visits -----------------------------------------------------------------------------------------
 
 

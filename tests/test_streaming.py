@@ -394,7 +394,8 @@ def test_log_splitter(spark, root):
          record("c", "1", NOON + 2 * DAY, start={"entry": "icon"})],
     ])
     outputs = root / "split"
-    writer = jobs.log_splitter(spark, str(root / "first"), str(outputs))
+    first_visits = jobs.first_visit_table(str(root / "first"))
+    writer = jobs.log_splitter(first_visits, str(outputs))
     run(file_lines(spark, folder, True, 1), "split", root, writer)
 
     def read(name):
@@ -408,12 +409,14 @@ def test_log_splitter(spark, root):
         ("c", "1", NOON + DAY + 5)])
     assert [json.loads(r["value"])["common"]["is_new"] for r in read("start")] == ["0"]
     assert len(read("error")) == 1 and len(read("action")) == 1 and len(read("display")) == 2
-    # a repeated batch replaces its own rows
-    batch = spark.read.text(f"{folder}/0001.txt")
-    writer(batch, 1)
-    again = Counter((p["common"]["mid"], p["common"]["is_new"], p["ts"])
-                    for p in (json.loads(r["value"]) for r in read("page")))
-    assert again == pages
+    # a repeated batch replaces its own rows, before and after the first visits were folded
+    for number in (1, 2):
+        writer(spark.read.text(f"{folder}/000{number}.txt"), number)
+        again = Counter((p["common"]["mid"], p["common"]["is_new"], p["ts"])
+                        for p in (json.loads(r["value"]) for r in read("page")))
+        assert again == pages
+        first_visits.compact(spark)
+    assert sorted(r["mid"] for r in first_visits.read(spark).collect()) == ["a", "b", "c"]
 
 
 def test_dimension_stream_and_compaction(spark, root):
