@@ -51,7 +51,8 @@ def explode_words(df: DataFrame, text: str, words: DataFrame | None = None, word
     """One row per word of ``text``; Chinese runs are segmented when a word table is given.
 
     Segmentation runs once per distinct run, so a keyword that fills a third of the log is segmented once;
-    its words are then joined back to the rows.
+    its words are then joined back to the rows.  A stream uses a word table inside `foreachBatch`; without
+    one the function works on streams directly.
     """
     latin = explode_latin(df, text, word)
     if words is None:

@@ -17,8 +17,9 @@ DEFAULT_KEY = "id"
 def route_dimensions(changes: DataFrame, config: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Live change rows of configured source tables, cut down to the configured columns.
 
-    Output: ``sink_table``, ``sink_pk`` (key column name), ``pk`` (key value), ``type``, ``data``, ``ts``
-    and the ``keep`` columns.  Rows of tables without configuration are dropped.
+    Output: ``sink_table``, ``sink_pk`` (key column name), ``pk`` (key value), ``type``, ``data``, ``ts``,
+    ``version`` (the time as a number, which orders the changes) and the ``keep`` columns, such as topic
+    offsets that order changes of one second.  Rows of tables without configuration are dropped.
     """
     rules = config.select(
         F.col("sourceTable").alias("table"),
@@ -29,11 +30,12 @@ def route_dimensions(changes: DataFrame, config: DataFrame, keep: Sequence[str]
     routed = live_changes(changes).join(rules, "table", "inner")
     return routed.select(
         "sink_table", "sink_pk", F.col("data")[F.col("sink_pk")].alias("pk"), "type",
-        keep_keys(F.col("data"), F.col("_columns")).alias("data"), "ts", *keep,
+        keep_keys(F.col("data"), F.col("_columns")).alias("data"), "ts",
+        F.col("ts").try_cast("decimal(20,0)").alias("version"), *keep,
     )
 
 
-def latest_rows(routed: DataFrame, order: Sequence[str] = ("ts",)) -> DataFrame:
+def latest_rows(routed: DataFrame, order: Sequence[str] = ("version",)) -> DataFrame:
     """Current row of each dimension key: the last one in ``order``."""
     return first_per_key(routed, ["sink_table", "pk"], [F.col(c).desc_nulls_last() for c in order])
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -10,12 +12,13 @@ from retailflow import schemas
 
 def topic_lines(
     spark: SparkSession, servers: str, topic: str, stream: bool = True,
-    per_trigger: int = 1_000_000, **options: str,
+    per_trigger: int = 1_000_000, positions: bool = False, **options: str,
 ) -> DataFrame:
-    """Records of a topic as one ``value`` column; a record without payload becomes an empty text.
+    """Records of a topic as a ``value`` column; a record without payload becomes an empty text.
 
     Needs Spark's Kafka package on the class path.  A stream resumes from its checkpoint; ``per_trigger``
-    bounds what one micro-batch, and so one key of it, can hold.
+    bounds what one micro-batch, and so one key of it, can hold.  ``positions`` adds the record's
+    ``partition`` and ``offset``, which order changes of the same second.
     """
     settings = {"kafka.bootstrap.servers": servers, "subscribe": topic, **options}
     if stream:
@@ -23,11 +26,14 @@ def topic_lines(
         reader = spark.readStream
     else:
         reader = spark.read
-    return _payload(reader.format("kafka").options(**settings).load())
+    return payload(
+        reader.format("kafka").options(**settings).load(), ("partition", "offset") if positions else ()
+    )
 
 
-def _payload(records: DataFrame) -> DataFrame:
-    return records.select(F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"))
+def payload(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Text of topic records."""
+    return records.select(F.coalesce(F.col("value").cast("string"), F.lit("")).alias("value"), *keep)
 
 
 def file_lines(
@@ -40,8 +46,12 @@ def file_lines(
 
 
 def json_table(lines: DataFrame, schema: StructType | str, value: str = "value") -> DataFrame:
-    """Declared columns of JSON records; text that does not parse gives a row of nulls."""
-    return lines.select(F.from_json(value, schema).alias("row")).select("row.*")
+    """Declared columns of JSON records; text that does not parse gives a row of nulls.
+
+    Other columns of ``lines`` are kept behind the declared ones.
+    """
+    others = [c for c in lines.columns if c != value]
+    return lines.select(F.from_json(value, schema).alias("_row"), *others).select("_row.*", *others)
 
 
 def changelog_rows(lines: DataFrame, value: str = "value") -> DataFrame:

@@ -198,13 +198,17 @@ def order_window(rows: DataFrame, ts: str = "ts", width: str = windows.WINDOW) -
 # --- dimensions -------------------------------------------------------------------------------------
 
 
+def dimension_store(root: str, ties: Sequence[str] = ()) -> KeyedTable:
+    """Keyed table of all dimensions: one row per dimension and key, one folder per dimension and batch."""
+    return keyed_table(root, ["sink_table", "pk"], ["version", *ties], ["sink_table"])
+
+
 def dimension_writer(
-    read_config: Callable[[], DataFrame], table: KeyedTable, order: Sequence[str] = ("ts",)
+    read_config: Callable[[], DataFrame], table: KeyedTable, ties: Sequence[str] = ()
 ) -> BatchWriter:
     """Batch writer that routes change rows by the configuration as it stands at the batch's start."""
 
     def write(changes: DataFrame, batch_id: int) -> None:
-        routed = dims.route_dimensions(changes, read_config())
-        table.merge(routed, batch_id)
+        table.merge(dims.route_dimensions(changes, read_config(), ties), batch_id)
 
     return write

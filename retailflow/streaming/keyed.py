@@ -110,10 +110,16 @@ def repair_new_visitor(df: DataFrame, key: str, is_new: str, ts: str, keep: Sequ
     )
 
 
-def _rows_as_json(df: DataFrame, columns: Sequence[str]) -> Column:
+def _row_text(columns: Sequence[str]) -> Column:
     return F.to_json(F.struct(*columns))
 
 
+def _rows_of_text(texts: DataFrame, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows back from their text, with the types they had in ``df``."""
+    schema = StructType([f for name in columns for f in df.schema.fields if f.name == name])
+    return texts.select(F.from_json("value", schema).alias("row")).select("row.*")
+
+
 def user_jumps(
     df: DataFrame, key: str, ts: str, entry: Column, keep: Sequence[str],
     span_seconds: int = BOUNCE_SECONDS,
@@ -128,7 +134,7 @@ def user_jumps(
     span = span_seconds * 1000
     clocked = df.withColumn("_ms", F.unix_millis(F.col(ts))).withColumn(
         "_entry", F.coalesce(entry, F.lit(False))
-    ).withColumn("_row", _rows_as_json(df, keep)).select(key, ts, "_ms", "_entry", "_row")
+    ).withColumn("_row", _row_text(keep)).select(key, ts, "_ms", "_entry", "_row")
 
     def step(_key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         waiting = json.loads(state.get[0]) if state.exists else []
@@ -167,8 +173,7 @@ def user_jumps(
     judged = clocked.groupBy(key).applyInPandasWithState(
         step, _ONE_TEXT, _ONE_TEXT, "append", GroupStateTimeout.EventTimeTimeout
     )
-    schema = StructType([f for n in keep for f in df.schema.fields if f.name == n])
-    return judged.select(F.from_json("value", schema).alias("row")).select("row.*")
+    return _rows_of_text(judged, df, keep)
 
 
 def keep_latest(
@@ -182,7 +187,7 @@ def keep_latest(
     """
     keep = list(keep)
     packed = df.select(
-        key, F.unix_micros(F.col(version)).alias("_version"), _rows_as_json(df, keep).alias("_row")
+        key, F.unix_micros(F.col(version)).alias("_version"), _row_text(keep).alias("_row")
     )
 
     def step(_key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -205,5 +210,4 @@ def keep_latest(
     sent = packed.groupBy(key).applyInPandasWithState(
         step, _ONE_TEXT, _ONE_TEXT, "append", GroupStateTimeout.ProcessingTimeTimeout
     )
-    schema = StructType([f for n in keep for f in df.schema.fields if f.name == n])
-    return sent.select(F.from_json("value", schema).alias("row")).select("row.*")
+    return _rows_of_text(sent, df, keep)

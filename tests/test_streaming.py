@@ -17,9 +17,8 @@ from retailflow.operators import logs, visits, windows
 from retailflow.operators.ordered import keep_first
 from retailflow.plans import facts
 from retailflow.plans import windows as plan_windows
-from retailflow.sinks.tables import keyed_table
 from retailflow.sources.records import changelog_rows, file_lines
-from retailflow.sources.tables import stored_rows
+from retailflow.sources.tables import dimension_config, stored_rows
 from retailflow.streaming import jobs, joins, keyed
 
 NOON = 1648785600000  # 2022-04-01 12:00:00 +08:00
@@ -261,6 +260,57 @@ def test_order_window_from_two_streams(spark, root, detail_folder):
     assert rows(spark.read.parquet(out), columns) == rows(expected, columns)
 
 
+def test_product_windows(spark, root, detail_folder):
+    """Lookup before, names after two chained aggregations, in one stream."""
+    def dim(columns, *rows_):
+        return spark.createDataFrame(list(rows_), columns)
+
+    products = plan_windows.ProductDimensions(
+        sku=dim("id STRING, spu_id STRING, tm_id STRING, category3_id STRING", ("a", "p", "t", "c3")),
+        spu=dim("id STRING, spu_name STRING", ("p", "spu")),
+        trademark=dim("id STRING, tm_name STRING", ("t", "tm")),
+        category3=dim("id STRING, name STRING, category2_id STRING", ("c3", "three", "c2")),
+        category2=dim("id STRING, name STRING, category1_id STRING", ("c2", "two", "c1")),
+        category1=dim("id STRING, name STRING", ("c1", "one")),
+    )
+    for name, build, result in (
+        ("spu", plan_windows.user_spu_order_window, "user_spu_order"),
+        ("refunds", plan_windows.refund_window, "refund"),
+    ):
+        out = run(build(jobs.first_details(detail_rows(spark, detail_folder, True)), products), name, root)
+        batch = keep_first(detail_rows(spark, detail_folder, False), "id", ["ms"])
+        expected = build(batch, products).filter("userId <> 'f'")
+        columns = schemas.WINDOW_RESULTS[result]
+        assert rows(spark.read.parquet(out), columns) == rows(expected, columns)
+        assert expected.filter("category1Name = 'one'").count() > 0
+        assert expected.filter("trademarkId is null").count() > 0
+
+
+def test_cart_and_payment_jobs(spark, root, dic):
+    def cart(i, user, second, operate=None):
+        data = {"id": str(i), "user_id": user, "sku_num": "1", "source_type": "2401",
+                "create_time": f"2022-04-01 12:00:{second:02d}"}
+        return change("cart_info", "insert", {**data, **({"operate_time": operate} if operate else {})}, second)
+
+    folder = put_files(root / "carts", [
+        [cart(1, "u", 1), cart(2, "u", 2), cart(3, "v", 3)],
+        [cart(4, "u", 4, "2022-04-02 00:00:01"), cart(5, "w", 5)],
+        [cart(9, "z", 6, "2022-05-01 00:00:00")]])
+
+    def carts(stream):
+        added = facts.cart_add(change_rows(spark, folder, stream), dic, "shop")
+        timed = plan_windows.cart_event_time(added)
+        return timed.withColumn("ts", F.col("ts").cast("timestamp"))
+
+    users = run(jobs.daily_users(carts(True), "user_id", "ts"), "cart-u", root)
+    stored = stored_rows(spark, f"{users}/batch=*", "user_id STRING, ts TIMESTAMP", stream=True)
+    out = run(windows.cart_window(jobs.watermarked(stored)), "cart-w", root)
+    expected = windows.cart_window(visits.daily_users(carts(False), "user_id", "ts")).filter("stt < '2022-05'")
+    columns = schemas.WINDOW_RESULTS["cart_add"]
+    assert rows(spark.read.parquet(out), columns) == rows(expected, columns)
+    assert expected.count() == 2
+
+
 def test_late_rows_are_dropped(spark, root):
     def line(ms):
         return json.dumps({"id": str(ms), "ms": ms})
@@ -425,16 +475,14 @@ def test_dimension_stream_and_compaction(spark, root):
                            "ts": ts})
 
     folder = put_files(root / "dims", [
-        [row("1", "a", "insert", "1"), row("2", "b", "insert", "1")],
-        [row("1", "c", "update", "2"), row("3", "d", "bootstrap-insert", "2")],
-        [row("2", "e", "update", "3")]])
+        [row("1", "a", "insert", "9"), row("2", "b", "insert", "9"), row("2", "b2", "update", "10")],
+        [row("1", "c", "update", "11"), row("3", "d", "bootstrap-insert", "11")],
+        [row("2", "e", "update", "12")]])
     config = root / "config"
     config.mkdir()
     (config / "rules.json").write_text(json.dumps(
         {"sourceTable": "sku", "sinkTable": "dim_sku", "sinkColumns": "id,name"}))
-    table = keyed_table(str(root / "dim-table"), ["sink_table", "pk"], ["ts"], ["sink_table"])
-    from retailflow.sources.tables import dimension_config
-
+    table = jobs.dimension_store(str(root / "dim-table"))
     writer = jobs.dimension_writer(lambda: dimension_config(spark, str(config)), table)
     run(change_rows(spark, folder, True), "dims", root, writer)
 
