@@ -73,14 +73,15 @@ def following_within(
     own = span_seconds * _SLICE_SPANS
     # Slices overlap by one span: a row also belongs to the slice before it if that slice's last rows
     # could need it as their successor.
-    sliced = df.withColumn("_slice", F.window(ts, f"{own + span_seconds} seconds", f"{own} seconds"))
+    slices = F.window(ts, f"{own + span_seconds} seconds", f"{own} seconds")
+    sliced = df.withColumn("_slice", slices).withColumn("_slice", F.col("_slice.start"))
     w = Window.partitionBy(key, "_slice").orderBy(ts, *ties)
     next_ts = F.lead(ts).over(w)
     near = F.col("_next_ts") < F.col(ts) + F.expr(f"interval {span_seconds} seconds")
     out = sliced.withColumn("_next_ts", next_ts)
     for source, name in look.items():
         out = out.withColumn(name, F.lead(source).over(w))
-    out = out.filter(F.col(ts) < F.col("_slice.start") + F.expr(f"interval {own} seconds"))
+    out = out.filter(F.col(ts) < F.col("_slice") + F.expr(f"interval {own} seconds"))
     out = out.withColumn("has_next", F.coalesce(near, F.lit(False)))
     for name in look.values():
         out = out.withColumn(name, F.when(F.col("has_next"), F.col(name)))

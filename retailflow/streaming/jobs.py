@@ -154,6 +154,33 @@ def paying_users(df: DataFrame, user: str, ts: str) -> DataFrame:
     )
 
 
+def text_time(df: DataFrame, column: str, name: str = "ts") -> DataFrame:
+    """Event time from the shop's text time; the session zone is the shop's."""
+    return df.withColumn(name, F.col(column).try_cast("timestamp"))
+
+
+def cart_users(carts: DataFrame) -> DataFrame:
+    """First cart addition of each user and day, from a cart fact stream."""
+    timed = carts.withColumn("_time", F.coalesce("operate_time", "create_time"))
+    return daily_users(text_time(timed, "_time"), "user_id", "ts")
+
+
+def latest_payments(paid: DataFrame) -> DataFrame:
+    """One row per paid order detail: its newest version, from a payment fact stream."""
+    return keyed.keep_latest(paid, "order_detail_id", "row_op_ts", ["user_id", "callback_time"])
+
+
+def payment_users(latest: DataFrame) -> DataFrame:
+    """First payment of each user and day, from stored `latest_payments`."""
+    return paying_users(text_time(latest, "callback_time"), "user_id", "ts")
+
+
+def latest_details(details: DataFrame) -> DataFrame:
+    """One row per order detail: its newest version, with what the province window reads."""
+    columns = ["id", "order_id", "province_id", "split_total_amount", "create_time"]
+    return keyed.keep_latest(details, "id", "row_op_ts", columns)
+
+
 # --- windows over stored rows -----------------------------------------------------------------------
 
 

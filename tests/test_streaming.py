@@ -286,7 +286,7 @@ def test_product_windows(spark, root, detail_folder):
         assert expected.filter("trademarkId is null").count() > 0
 
 
-def test_cart_and_payment_jobs(spark, root, dic):
+def test_cart_jobs(spark, root, dic):
     def cart(i, user, second, operate=None):
         data = {"id": str(i), "user_id": user, "sku_num": "1", "source_type": "2401",
                 "create_time": f"2022-04-01 12:00:{second:02d}"}
@@ -298,17 +298,39 @@ def test_cart_and_payment_jobs(spark, root, dic):
         [cart(9, "z", 6, "2022-05-01 00:00:00")]])
 
     def carts(stream):
-        added = facts.cart_add(change_rows(spark, folder, stream), dic, "shop")
-        timed = plan_windows.cart_event_time(added)
-        return timed.withColumn("ts", F.col("ts").cast("timestamp"))
+        return facts.cart_add(change_rows(spark, folder, stream), dic, "shop")
 
-    users = run(jobs.daily_users(carts(True), "user_id", "ts"), "cart-u", root)
+    users = run(jobs.cart_users(carts(True)), "cart-u", root)
     stored = stored_rows(spark, f"{users}/batch=*", "user_id STRING, ts TIMESTAMP", stream=True)
     out = run(windows.cart_window(jobs.watermarked(stored)), "cart-w", root)
-    expected = windows.cart_window(visits.daily_users(carts(False), "user_id", "ts")).filter("stt < '2022-05'")
+    timed = plan_windows.cart_event_time(carts(False))
+    expected = windows.cart_window(visits.daily_users(timed, "user_id", "ts")).filter("stt < '2022-05'")
     columns = schemas.WINDOW_RESULTS["cart_add"]
     assert rows(spark.read.parquet(out), columns) == rows(expected, columns)
-    assert expected.count() == 2
+    assert sorted(r["cartAddUuCt"] for r in expected.collect()) == [1, 3]
+
+
+def test_payment_and_register_jobs(spark, root):
+    lines = [json.dumps({"user_id": u, "callback_time": t}) for u, t in [
+        ("u", "2022-04-01 12:00:01"), ("u", "2022-04-01 12:00:02"), ("v", "2022-04-01 12:00:03"),
+        ("u", "2022-04-02 12:00:01"), ("z", "2022-05-01 12:00:00")]]
+    folder = put_files(root / "paid", [lines[:2], lines[2:4], lines[4:]])
+
+    def paid(stream):
+        return file_lines(spark, folder, stream, 1).select(
+            F.from_json("value", "user_id STRING, callback_time STRING").alias("r")).select("r.*")
+
+    users = run(jobs.payment_users(paid(True)), "paid-u", root)
+    stored = stored_rows(
+        spark, f"{users}/batch=*", "ts TIMESTAMP, unique_user BIGINT, new_user BIGINT", stream=True)
+    out = run(windows.payment_window(jobs.watermarked(stored)), "paid-w", root)
+    got = sorted(tuple(r) for r in spark.read.parquet(out).drop("batch").collect())
+    assert got == [("2022-04-01 12:00:00", "2022-04-01 12:00:10", 2, 2),
+                   ("2022-04-02 12:00:00", "2022-04-02 12:00:10", 1, 0)]
+    registered = jobs.watermarked(jobs.text_time(paid(True), "callback_time"))
+    out = run(windows.register_window(registered), "reg-w", root)
+    got = sorted((r["stt"], r["registerCt"]) for r in spark.read.parquet(out).collect())
+    assert got == [("2022-04-01 12:00:00", 3), ("2022-04-02 12:00:00", 1)]
 
 
 def test_late_rows_are_dropped(spark, root):
@@ -333,7 +355,8 @@ def test_keep_latest_holds_and_sends_once(spark, root):
     df = file_lines(spark, folder, True, 1).select(
         F.from_json("value", "id STRING, v STRING, version BIGINT").alias("r")).select("r.*").withColumn(
         "row_op_ts", F.timestamp_millis("version"))
-    latest = keyed.keep_latest(df, "id", "row_op_ts", ["id", "v"], hold_millis=4000)
+    # the hold outlasts both files, so the older version that comes later cannot win
+    latest = keyed.keep_latest(df, "id", "row_op_ts", ["id", "v"], hold_millis=8000)
     out = str(root / "out-latest")
     query = jobs.start(latest, "latest", jobs.table_writer(out), every="500 milliseconds")
     deadline = time.time() + 60
