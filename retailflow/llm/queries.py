@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm import line_dedup, packing, warc
+from retailflow.llm import decontaminate, html_extract, line_dedup, packing, pii, quality, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,29 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    return pii.find(documents, pii.train(documents))
+
+
+def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    rows = decontaminate.find_passages(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return rows.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents the classifier selects, with their grade and its probability."""
+    documents = _table(spark, folder, "documents")
+    model = quality.train(documents, quality.ratings_of(_table(spark, folder, "labels")))
+    return quality.grade(documents, model).where("kept").select("row.doc_id", "expected_grade", "top_probability", "kept")
+
+
+def op8_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.main_text(_table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     rows = warc.round_trip(_table(spark, folder, "pages"))
     return rows.select(
@@ -36,6 +59,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_pii": op3_pii,
+    "op5_decontaminate": op5_decontaminate,
+    "op7_quality": op7_quality,
+    "op8_html_extract": op8_html_extract,
     "op9_warc": op9_warc,
     "op10_packing": op10_packing,
 }

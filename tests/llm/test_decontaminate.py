@@ -1,0 +1,80 @@
+"""Passages against a brute-force search of every window in every text."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pandas as pd
+
+from retailflow.llm import decontaminate, queries
+
+WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+TABLE = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(docs: list[tuple], items: list[tuple], width: int = 10) -> list[tuple]:
+    words = lambda t: WORDS.findall((t or "").translate(TABLE))
+    windows: dict[tuple, set] = {}
+    for item, text in items:
+        w = words(text)
+        for i in range(max(1, len(w) - width + 1) if w else 0):
+            windows.setdefault(tuple(w[i:i + width]), set()).add(str(item))
+    sizes = {len(w) for w in windows}
+    out = []
+    for doc, text in docs:
+        w, hit, found = words(text), set(), set()
+        for n in sizes:
+            for i in range(len(w) - n + 1):
+                items_here = windows.get(tuple(w[i:i + n]))
+                if items_here:
+                    hit |= set(range(i, i + n))
+                    found |= items_here
+        out.append((doc, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(),
+                    bool(hit)))
+    return sorted(out, key=str)
+
+
+def test_given_tables(spark):
+    folder = "/root/testdata/sf0.001"
+    got = sorted(map(tuple, queries.op5_decontaminate(spark, folder).collect()), key=str)
+    docs, items = (pd.read_parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
+    want = brute(list(zip(docs.doc_id, docs.text)), list(zip(items.item_id, items.text)))
+    assert got == sorted([tuple(r) for r in want], key=str) and any(r[5] for r in got)
+
+
+def run(spark, docs, items, **options):
+    rows = decontaminate.find_passages(
+        spark.createDataFrame([(*d, "x", 1) for d in docs], "doc_id int, text string, shard string, n_words int"),
+        spark.createDataFrame([(*i, "x") for i in items], "item_id int, text string, window string"), **options)
+    return sorted([(r.doc_id, r.n_words, r.n_hit, len(r["items"]), hashlib.sha256(",".join(r["items"]).encode()).hexdigest(),
+                    r.n_hit > 0) for r in rows.collect()], key=str)
+
+
+def test_edges_blocks_and_shards(spark):
+    long = " ".join(f"w{i % 23}" for i in range(40))
+    items = [(1, long), (2, "Two words"), (3, None), (4, "--"), (5, "Été É"), (6, "a a a"), (10, "two WORDS"), (11, long)]
+    docs = [(1, None), (2, ""), (3, "two, words"), (4, "two"), (5, "words"), (6, "a a a a b a a"), (7, "x " + long + " y"),
+            (8, " ".join(long.split()[3:12])), (9, " ".join(long.split()[3:13])), (10, "ÉtÉ É été É"), (11, "été É"),
+            (None, "two words"), (12, "two words two words"), (12, "two words two words"), (13, "w1 " * 2000 + "two words")]
+    want = brute(docs, items)
+    assert run(spark, docs, items) == want
+    assert run(spark, docs, items, block_windows=7, shard_words=30) == want
+
+
+def test_empty_tables(spark):
+    assert run(spark, [], [(1, "a b")]) == []
+    assert [r[2] for r in run(spark, [(1, "a b")], [])] == [0]
+
+
+def test_proximity(spark):
+    docs = [(1, "red big fox runs"), (2, "red fox"), (3, "red a b c fox"), (4, "fox red")]
+    got = {r[0]: r[5] for r in run(spark, docs, [(1, "red fox")], slop=2)}
+    assert got == {1: True, 2: True, 3: False, 4: True}
+    assert {r[0]: r[5] for r in run(spark, docs, [(1, "red fox")])} == {1: False, 2: True, 3: False, 4: False}
+
+
+def test_hot_passage(spark):
+    docs = [(i, f"start{i} " + "one two three four five six seven eight nine ten" + f" end{i}") for i in range(400)]
+    items = [(1, "one two three four five six seven eight nine ten")]
+    assert run(spark, docs, items, shard_words=500) == brute(docs, items)

@@ -1,0 +1,72 @@
+"""Extraction on the given pages and on other layouts; the cut against enumeration."""
+
+from __future__ import annotations
+
+import html
+import itertools
+import random
+import re
+
+import pandas as pd
+import pytest
+
+from retailflow.llm import html_extract
+
+SCHEMA = "page_id long, url string, html string, text int, blocks string"
+
+
+@pytest.fixture(scope="module")
+def weights(spark):
+    return html_extract.train(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"), sample=100)
+
+
+def test_given_pages(weights):
+    for page in pd.read_parquet("/root/testdata/sf0.01/pages.parquet").html:
+        article = re.search(r"<article>(.*?)</article>", page, re.S)[1]
+        want = " ".join(html.unescape(re.sub(r"<[^>]*>", " ", article)).split())
+        assert " ".join(html_extract.extract(page, weights)) == want
+
+
+LAYOUT = """<html><head><title>T</title></head><body><div id="cookie-notice">We use cookies. <button>OK</button></div>
+<header class="site"><h1>Site</h1><ul><li><a href=x>Home</a><li><a href=y>About us</a></ul></header>
+<div class="wrap"><div class="col"><h2>A real headline</h2><p>This is the first paragraph of the text, with <b>bold</b>ness
+and&nbsp;a long sentence, which goes on.</p><div class="ad-box">Buy now cheap things, really good.</div><p>Short one.</p>
+<p>The second paragraph says more &amp; more, and it is long enough to be counted as content here.</p>
+<script>if (a < b) { "<p>not text</p>" }</script><!-- <p>nor this</p> -->
+<p>A third paragraph, without an end<p>A fourth one, with 1 &lt; 2 and a line<br>break, ends the article in the usual way.</div>
+<div id="comments"><h3>3 comments</h3><p>I think this is a very good article, thanks for writing it, a pleasure.</p></div>
+<div class="sidebar"><h4>Popular</h4><a href=1>Ten things you did not know about it</a></div></div>
+<form><label>Your mail</label><input name=q></form><footer>(c) 2024 Site. All rights reserved.</footer></body></html>"""
+
+
+def test_other_layout(weights):
+    want = ["A real headline", "This is the first paragraph of the text, with boldness and a long sentence, which goes on.",
+            "Short one.", "The second paragraph says more & more, and it is long enough to be counted as content here.",
+            "A third paragraph, without an end", "A fourth one, with 1 < 2 and a line break, ends the article in the usual way."]
+    assert html_extract.extract(LAYOUT, weights) == want
+
+
+def test_cut_is_minimal():
+    rng = random.Random(2)
+    for _ in range(60):
+        n = rng.randint(1, 7)
+        gains = [rng.uniform(-3, 3) for _ in range(n)]
+        edges = [(a, b, rng.uniform(0, 2)) for a in range(n) for b in range(a) if rng.random() < 0.5]
+
+        def cost(side):
+            return (sum(g for g, s in zip(gains, side) if g > 0 and not s) - sum(g for g, s in zip(gains, side) if g < 0 and s)
+                    + sum(w for a, b, w in edges if side[a] != side[b]))
+
+        best = min(map(cost, itertools.product([True, False], repeat=n)))
+        assert abs(cost(html_extract.minimum_cut(gains, edges)) - best) < 1e-6
+
+
+def test_edges(spark):
+    pages = [(1, "u", None), (1, "u", None), (None, None, ""), (2, "u", "<script>x"), (3, "u", "<!-- open"),
+             (4, "u", "<article><p>" + "word " * 50_000 + "</article>"), (5, "u", "<p title=\"x>"), (6, "u", "<" * 5000),
+             (7, "u", "<article>a<b>b</b> &amp;&#233;&am <i>c</article>")]
+    rows = html_extract.main_text(spark.createDataFrame([(*p, 1, "x") for p in pages], SCHEMA)).collect()
+    by = {r.page_id: r.text for r in rows}
+    assert len(rows) == len(pages) and by[1] == by[None] == by[2] == by[3] == ""
+    assert len(by[4]) == 5 * 50_000 - 1 and by[7] == "ab &é&am c"
+    assert html_extract.main_text(spark.createDataFrame([], SCHEMA)).count() == 0
