@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm import decontaminate, html_extract, line_dedup, packing, pii, quality, warc
+from retailflow.llm import decontaminate, html_extract, line_dedup, lm_score, packing, pii, quality, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find(documents, pii.train(documents))
 
 
+def op4_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_score.score_documents(_table(spark, folder, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     rows = decontaminate.find_passages(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return rows.select(
@@ -60,6 +64,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op3_pii": op3_pii,
+    "op4_lm_score": op4_lm_score,
     "op5_decontaminate": op5_decontaminate,
     "op7_quality": op7_quality,
     "op8_html_extract": op8_html_extract,
