@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm import decontaminate, html_extract, line_dedup, lm_score, packing, pii, quality, warc
+from retailflow.llm import decontaminate, html_extract, line_dedup, lm_score, minhash, packing, pii, quality, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.link_documents(_table(spark, folder, "documents"))
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     """The documents the classifier selects, with their grade and its probability."""
     documents = _table(spark, folder, "documents")
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op4_lm_score": op4_lm_score,
     "op5_decontaminate": op5_decontaminate,
+    "op6_minhash": op6_minhash,
     "op7_quality": op7_quality,
     "op8_html_extract": op8_html_extract,
     "op9_warc": op9_warc,
