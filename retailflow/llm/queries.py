@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailflow.llm import decontaminate, html_extract, line_dedup, lm_score, minhash, packing, pii, quality, warc
+from retailflow.llm import decontaminate, html_extract, line_dedup, lm_score, minhash, neighbours, packing, pii, quality, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, folder, "embeddings"))
+
+
 def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
     return pii.find(documents, pii.train(documents))
@@ -67,6 +71,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_neighbours": op2_neighbours,
     "op3_pii": op3_pii,
     "op4_lm_score": op4_lm_score,
     "op5_decontaminate": op5_decontaminate,
