@@ -1,0 +1,25 @@
+"""The registered text queries, and their SQL where there is one."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as entry_module
+from compare import assert_same, connect
+from retailflow.llm import queries
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_all_are_registered():
+    numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
+    assert numbers == list(range(1, 11))
+    assert {*queries.QUERIES, "pipeline"} <= set(entry_module.queries())
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_query_equals_sql(spark, name):
+    rows = queries.QUERIES[name](spark, FOLDER).toPandas()
+    con = connect(FOLDER)
+    assert_same(rows, con.execute(queries.ORACLE[name]).df(), name)
+    con.close()
