@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Amounts are summed exactly, so that the order of addition cannot change a result.
-MONEY = "decimal(18,4)"
+MONEY = "decimal(28,4)"
 
 
 def money(amount: Column | str) -> Column:
