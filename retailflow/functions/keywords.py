@@ -1,64 +1,81 @@
 """Search keyword segmentation with built-in expressions.
 
-Latin letters and digits form words by themselves.  Runs of Chinese characters are matched against a word
-table at every position, which gives all overlapping words; a character that no word covers is a word of
-its own.
+Letters and digits of any script but Han form words by themselves.  Runs of Han characters are matched against a
+word table at every position, which gives all overlapping words; a character that no word covers is a word of its
+own, and without a table every Han character is.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Fixed values.
-LATIN_RUN = "[a-z0-9]+"
-HAN_RUN = "[\\u4e00-\\u9fff]+"
-MAX_WORD = 6
+# A word of letters, marks and digits outside the Han script; a run and a character of it.
+LETTER_RUN = r"[\p{L}\p{N}&&[^\p{IsHan}]][\p{L}\p{M}\p{N}&&[^\p{IsHan}]]*"
+HAN_CHARACTER = r"\p{IsHan}"
+HAN_RUN = r"\p{IsHan}+"
 
+# Characters of a Han run that are cut into words together.
+SLICE = 256
 
-def latin_words(text: Column) -> Column:
+
+def _all(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+
+def letter_words(text: Column) -> Column:
     """Lower-case letter and digit runs of a text, as an array."""
-    return F.regexp_extract_all(F.lower(text), F.lit(LATIN_RUN), F.lit(0))
+    return _all(F.lower(text), LETTER_RUN)
 
 
 def han_runs(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(HAN_RUN), F.lit(0))
+    return _all(text, HAN_RUN)
 
 
-def explode_latin(df: DataFrame, text: str, word: str = "word") -> DataFrame:
-    """One row per Latin word; a text without one yields no row."""
-    others = [c for c in df.columns if c != text]
-    return df.select(*others, F.explode(latin_words(F.col(text))).alias(word))
+def han_run_words(runs: DataFrame, words: DataFrame, run: str = "run") -> DataFrame:
+    """Words of each run: ``run_id``, ``word``, one row per occurrence.  ``runs`` holds each run once, with its id.
+
+    Only the lengths that the word table holds are tried; these few numbers are read first.  A run is cut into overlapping slices first, so that the
+    work and the rows are in proportion to its length; what is shuffled is the id, the place and the piece.
+    """
+    table = words.filter(F.col("word").rlike(f"^{HAN_RUN}$")).select("word").distinct()
+    sizes = sorted(row.size for row in table.select(F.length("word").alias("size")).distinct().collect())
+    sliced = runs.select(
+        "run_id", run, F.explode(F.sequence(F.lit(1), F.length(run), F.lit(SLICE))).alias("_from")
+    ).select(
+        "run_id", "_from", F.substring(F.col(run), F.col("_from"), F.lit(SLICE - 1 + max(sizes, default=1))).alias("_text")
+    )
 
+    def pieces(frame: DataFrame, size: Column) -> DataFrame:
+        last = F.least(F.lit(SLICE), F.length("_text") - size + 1)
+        cut = F.transform(F.sequence(F.lit(1), last), lambda at: F.struct(
+            (at + F.col("_from") - 1).alias("start"), F.substring(F.col("_text"), at, size).alias("word")))
+        return frame.select("run_id", F.explode(F.when(last >= 1, cut)).alias("_piece")).select(
+            "run_id", "_piece.start", "_piece.word")
 
-def han_run_words(runs: DataFrame, words: DataFrame, run: str = "run") -> DataFrame:
-    """Words of each run: ``run``, ``word``, one row per occurrence.  ``runs`` holds each run once."""
-    starts = runs.select(run, F.explode(F.sequence(F.lit(1), F.length(run))).alias("start"))
-    longest = F.least(F.lit(MAX_WORD), F.length(run) - F.col("start") + 1)
-    grams = starts.select(
-        run, "start", F.explode(F.sequence(F.lit(1), longest)).alias("size")
-    ).withColumn("word", F.substring(F.col(run), F.col("start"), F.col("size")))
-    matched = grams.join(words.select("word").distinct(), "word", "left_semi")
+    tried = F.explode(F.array(*map(F.lit, sizes)).cast("array<int>"))
+    grams = pieces(sliced.withColumn("_size", tried), F.col("_size"))
+    matched = grams.join(table, "word", "left_semi")
     covered = matched.select(
-        run, F.explode(F.sequence(F.col("start"), F.col("start") + F.col("size") - 1)).alias("start")
+        "run_id", F.explode(F.sequence(F.col("start"), F.col("start") + F.length("word") - 1)).alias("start")
     ).distinct()
-    singles = starts.join(covered, [run, "start"], "left_anti").select(
-        run, F.substring(F.col(run), F.col("start"), F.lit(1)).alias("word")
-    )
-    return matched.select(run, "word").unionByName(singles)
+    singles = pieces(sliced, F.lit(1)).join(covered, ["run_id", "start"], "left_anti")
+    return matched.select("run_id", "word").unionByName(singles.select("run_id", "word"))
 
 
 def explode_words(df: DataFrame, text: str, words: DataFrame | None = None, word: str = "word") -> DataFrame:
-    """One row per word of ``text``; Chinese runs are segmented when a word table is given.
+    """One row per word of ``text``; a text without a word (or null) yields no row.
 
-    Segmentation runs once per distinct run, so a keyword that fills a third of the log is segmented once;
-    its words are then joined back to the rows.  A stream uses a word table inside `foreachBatch`; without
-    one the function works on streams directly.
+    With a word table Han runs are segmented, once per distinct run, so a keyword that fills a third of the log is
+    segmented once; its words are then joined back to the rows.  A stream uses a word table inside `foreachBatch`;
+    without one the function works on streams directly.
     """
-    latin = explode_latin(df, text, word)
-    if words is None:
-        return latin
     others = [c for c in df.columns if c != text]
+    if words is None:
+        found = _all(F.lower(F.col(text)), f"{HAN_CHARACTER}|{LETTER_RUN}")
+        return df.select(*others, F.explode(found).alias(word))
+    letters = df.select(*others, F.explode(letter_words(F.col(text))).alias(word))
     rows = df.select(*others, F.explode(han_runs(F.col(text))).alias("_run"))
-    per_run = han_run_words(rows.select(F.col("_run").alias("run")).distinct(), words)
-    han = rows.join(per_run.select(F.col("run").alias("_run"), F.col("word").alias(word)), "_run")
-    return latin.unionByName(han.select(*others, word))
+    runs = rows.select(F.col("_run").alias("run")).distinct().withColumn("run_id", F.unhex(F.md5("run")))
+    per_run = han_run_words(runs, words).select(F.col("run_id").alias("_id"), F.col("word").alias(word))
+    han = rows.select(*others, F.unhex(F.md5("_run")).alias("_id")).join(per_run, "_id")
+    return letters.unionByName(han.select(*others, word))

@@ -9,29 +9,75 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from retailflow import schemas
 from retailflow.operators.ordered import order_key
 
-_CORRUPT = "_corrupt"
+
+
+def _whole_record(text: Column) -> Column:
+    """The text as a variant if it is exactly one JSON object, else null.
+
+    The parser stops after the first complete value.  So the text is put into an array in front of a number that
+    depends on it: other text behind the record, or a second record, moves that number away.
+    """
+    mark = F.xxhash64(text)
+    both = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]")))
+    return F.struct(both.alias("both"), mark.alias("mark"))
+
+
+def _numbers(text: Column) -> Column:
+    """Whole part of a number, whether written plain, in quotes or with decimals; null for other text."""
+    return text.try_cast("decimal(38,9)").try_cast("bigint")
+
+
+def _part(record: Column, fields: T.StructType) -> Column:
+    """A nested object: its named fields, and under ``more`` all others."""
+    names = fields.names
+    known = [_numbers(record[f.name]) if isinstance(f.dataType, T.LongType) else record[f.name] for f in fields]
+    more = F.map_filter(record, lambda key, _: ~key.isin(names))
+    return F.when(record.isNotNull(), F.struct(*[c.alias(n) for c, n in zip(known, names)], more.alias("more")))
 
 
 def parse_logs(lines: DataFrame, value: str = "value") -> DataFrame:
     """Parse log text into the log columns; the text stays as ``value`` and ``dirty`` marks bad text.
 
-    Spark's parser takes blank text for an all-null record and ignores text after the closing brace, so
-    both are tested on the text itself.  The parsed record passes through a generator, which keeps the
-    optimizer from copying the parser into every filter above it: each text is parsed once.
+    Text is dirty if it is not exactly one JSON object; a field of another type than usual does not make it so.  A
+    number may stand in quotes or have decimals, and a part of a wrong kind is null.  Fields that the schema does
+    not name are kept as text: in ``common.more``, ``page.more`` and, for the record itself, ``more``.
+    The parsed record passes through a generator, which keeps the optimizer from copying the parser into every
+    filter above it: each text is parsed once.
     """
-    schema = T.StructType([*schemas.LOG.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = F.from_json(
-        F.col(value), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    )
-    text = F.btrim(F.col(value), F.lit(" \t\r\n"))
-    text_ok = F.coalesce(text.startswith("{") & text.endswith("}"), F.lit(False))
-    checked = F.struct(text_ok.alias("_text_ok"), parsed.alias("_log"))
     others = [c for c in lines.columns if c != value]
-    return lines.select(*others, F.col(value).alias("value"), F.inline(F.array(checked))).select(
-        *others, "value", (~F.col("_text_ok") | F.col(f"_log.{_CORRUPT}").isNotNull()).alias("dirty"),
-        *[F.col(f"_log.{f.name}").alias(f.name) for f in schemas.LOG.fields],
+    text = F.col(value)
+    found = lines.select(*others, text.alias("value"), F.inline(F.array(_whole_record(text))))
+    whole = (
+        F.try_variant_get("both", "$[1]", "bigint").eqNullSafe(F.col("mark"))
+        & F.coalesce(F.schema_of_variant(F.try_variant_get("both", "$[0]", "variant")).startswith("OBJECT"), F.lit(False))
     )
 
+    def get(path: str, kind: str) -> Column:
+        return F.try_variant_get("both", path, kind)
+
+    parts = found.select(
+        *others, "value", (~whole).alias("dirty"),
+        get("$[0]", "map<string,string>").alias("_record"),
+        get("$[0].common", "map<string,string>").alias("_common"), get("$[0].page", "map<string,string>").alias("_page"),
+        get("$[0].displays", "array<map<string,string>>").alias("displays"),
+        get("$[0].actions", "array<map<string,string>>").alias("actions"),
+    )
+    typed = {
+        "common": _part(F.col("_common"), schemas.LOG["common"].dataType),
+        "page": _part(F.col("_page"), schemas.LOG["page"].dataType),
+        "start": F.col("_record")["start"], "displays": F.col("displays"), "actions": F.col("actions"),
+        "err": F.col("_record")["err"], "ts": _numbers(F.col("_record")["ts"]),
+        "more": F.map_filter("_record", lambda key, _: ~key.isin(schemas.LOG.names)),
+    }
+    return parts.select(*others, "value", "dirty", *[
+        F.when(~F.col("dirty"), column).alias(name) for name, column in typed.items()])
+
+
+def land_logs(parsed: DataFrame, path: str) -> DataFrame:
+    """Store parsed logs and read them back: the text is parsed once, and each output reads its own columns."""
+    parsed.write.parquet(path)
+    return parsed.sparkSession.read.schema(parsed.schema).parquet(path)
+
 
 def dirty_lines(parsed: DataFrame) -> DataFrame:
     return parsed.filter("dirty").select("value")
@@ -41,6 +87,11 @@ def clean_logs(parsed: DataFrame) -> DataFrame:
     return parsed.filter(~F.col("dirty")).drop("dirty", "value")
 
 
+def first_visit_order(ts: Column, new: Column) -> Column:
+    """One number that orders the records of a device: by time, then those not flagged new first."""
+    return F.coalesce(ts.cast("decimal(20,0)"), F.lit(2**63 - 1)) * 2 + new.cast("int")
+
+
 def repair_new_visitor(
     df: DataFrame,
     key: Column,
@@ -67,9 +118,15 @@ def repair_new_visitor(
     )
 
 
-def repair_logs(logs: DataFrame, day: Column, order: Sequence[str] = ("ts",)) -> DataFrame:
-    """`repair_new_visitor` on parsed logs: ``common.is_new`` is replaced in place."""
-    repaired = repair_new_visitor(logs, F.col("common.mid"), F.col("common.is_new"), day, order)
+def repair_logs(logs: DataFrame, day: Column) -> DataFrame:
+    """`repair_new_visitor` on parsed logs: ``common.is_new`` is replaced in place.
+
+    Of two records of one device with equal time the one not flagged new counts as the earlier; records without a
+    time come last.
+    """
+    new = F.col("common.is_new").eqNullSafe("1")
+    ordered = logs.withColumn("_order", first_visit_order(F.col("ts"), new))
+    repaired = repair_new_visitor(ordered, F.col("common.mid"), F.col("common.is_new"), day, ["_order"]).drop("_order")
     return repaired.withColumn(
         "common", F.col("common").withField("is_new", F.col("repaired_is_new"))
     ).drop("repaired_is_new")
@@ -118,6 +175,7 @@ def split_logs(logs: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def page_columns(pages: DataFrame) -> DataFrame:
-    """Flatten a page log to the columns the visit operators use."""
-    return pages.select("common.*", "page.*", "ts")
+def page_columns(pages: DataFrame, keep: Sequence[Column] = ()) -> DataFrame:
+    """Flatten a page log to the columns the visit operators use, and those to ``keep``."""
+    named = [f"{part}.{name}" for part in ("common", "page") for name in schemas.LOG[part].dataType.names]
+    return pages.select(*named, "ts", *keep)

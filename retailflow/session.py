@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Fixed value: the shop's clock. Text timestamps carry no zone and mean this one.
@@ -51,3 +54,12 @@ def checkpoint_root(spark: SparkSession, fallback: str | None = None) -> str:
     if not root:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return root.rstrip("/")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path for a landed intermediate under the shared folder; a temporary one only for a single local process."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.sparkContext.master
+        root = checkpoint_root(spark, tempfile.mkdtemp(prefix="retailflow-") if master.startswith("local") else None)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from retailflow.operators import logs, visits, windows
-from retailflow.operators.ordered import order_key
 from retailflow.plans import dims
 from retailflow.session import checkpoint_root
 from retailflow.sinks.tables import KeyedTable, append_lines, keyed_table, write_batch
@@ -75,7 +74,7 @@ def log_splitter(first_visits: KeyedTable, outputs: str, value: str = "value") -
             is_new = F.col("common.is_new").eqNullSafe("1")
             seen = clean.filter("_mid is not null").groupBy(F.col("_mid").alias("mid")).agg(
                 F.min_by(F.when(is_new, F.col("_day")).otherwise(F.date_sub("_day", 1)),
-                         order_key(["ts"])).alias("first_day")
+                         logs.first_visit_order(F.col("ts"), is_new)).alias("first_day")
             )
             # Only earlier batches count as known, so a repeated batch gives the same rows.
             known = first_visits.rows(session, before=batch_id)

@@ -18,6 +18,7 @@ from retailflow.operators import changelog, logs, lookup, visits, windows
 from retailflow.operators.ordered import keep_latest
 from retailflow.plans import dims, facts
 from retailflow.plans import windows as plan_windows
+from retailflow.session import scratch_path
 from retailflow.sinks.shape import json_lines, positional
 from retailflow.sources.records import changelog_rows, json_table
 from retailflow.tables import inputs
@@ -97,7 +98,8 @@ def _parsed(spark, folder):
 
 def _repaired(spark, folder):
     day = times.millis_wall(F.col("ts"), "+00:00").cast("date")
-    return logs.repair_logs(logs.clean_logs(_parsed(spark, folder)), day)
+    landed = logs.land_logs(_parsed(spark, folder), scratch_path(spark, "logs"))
+    return logs.repair_logs(logs.clean_logs(landed), day)
 
 
 @query
@@ -108,14 +110,14 @@ def log_dirty_split(spark, folder):
 @query
 def log_error(spark, folder):
     return logs.error_log(_repaired(spark, folder)).select(
-        "common.mid", "common.is_new", "page.page_id", "err", "ts"
+        "common.mid", "common.is_new", "page.page_id", "err", "ts", map_text(F.col("common.more")).alias("common_more")
     )
 
 
 @query
 def log_start(spark, folder):
     return logs.start_log(_repaired(spark, folder)).select(
-        "common.mid", "common.vc", "common.ch", "common.is_new", "start", "ts"
+        "common.mid", "common.vc", "common.ch", "common.is_new", "start", "ts", map_text(F.col("common.more")).alias("common_more")
     )
 
 
@@ -124,6 +126,7 @@ def log_display_explode(spark, folder):
     return logs.display_log(_repaired(spark, folder)).select(
         "common.mid", "common.is_new", "page_id", F.col("display")["item"].alias("item"),
         F.col("display")["pos_id"].alias("pos_id"), "ts",
+        map_text(F.col("common.more")).alias("common_more"),
     )
 
 
@@ -132,19 +135,22 @@ def log_action_explode(spark, folder):
     return logs.action_log(_repaired(spark, folder)).select(
         "common.mid", "common.is_new", "page_id", F.col("action")["action_id"].alias("action_id"),
         F.col("action")["item"].alias("item"), F.col("action")["ts"].alias("action_ts"),
+        map_text(F.col("common.more")).alias("common_more"),
     )
 
 
 @query
 def log_page(spark, folder):
-    return logs.page_columns(logs.page_log(_repaired(spark, folder)))
+    pages = logs.page_log(_repaired(spark, folder))
+    kept = [map_text(F.col(m)).alias(m.replace(".", "_")) for m in ("common.more", "page.more", "more")]
+    return logs.page_columns(pages, kept)
 
 
 @query
 def is_new_repair(spark, folder):
     pages = inputs.page_rows(spark, folder)
     return logs.repair_new_visitor(
-        pages, F.col("mid"), F.col("is_new"), F.col("ts").cast("date"), ["ts"]
+        pages, F.col("mid"), F.col("is_new"), F.col("ts").cast("date"), ["ts", "event_id"]
     ).select("event_id", "mid", "is_new", "repaired_is_new")
 
 
@@ -204,6 +210,12 @@ def keyword_explode(spark, folder):
     return explode_words(inputs.table(spark, folder, "documents").select("doc_id", "text"), "text")
 
 
+@query
+def keyword_han(spark, folder):
+    """Conversations written in Han characters, cut by a word table."""
+    return explode_words(inputs.han_texts(spark, folder), "text", inputs.han_vocabulary(spark, folder))
+
+
 @query
 def keyword_window(spark, folder):
     """Documents as search keywords, one a second, counted by word and ten seconds."""

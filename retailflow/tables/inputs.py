@@ -41,12 +41,12 @@ def page_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """``events`` as JSON log text, four kinds of bad text among it."""
+    """``events`` as JSON log text: six kinds of bad text among it, fields no schema names, numbers in quotes or with a part."""
     rows = page_rows(spark, folder).withColumn("ms", wall_millis(F.col("ts")))
-    common = F.struct("mid", "uid", "vc", "ch", "ar", "is_new")
+    common = F.struct("mid", "uid", "vc", "ch", "ar", "is_new", F.expr("concat('phone ', k % 7)").alias("md"))
     page = F.struct(
         "page_id", "last_page_id", F.col("k").cast("string").alias("item"),
-        F.lit("keyword").alias("item_type"), "during_time",
+        F.lit("keyword").alias("item_type"), "during_time", F.expr("concat('s', k % 2)").alias("source"),
     )
     kind = F.col("event_type")
 
@@ -62,17 +62,45 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
             F.lit("cart_add").alias("action_id"), F.col("k").alias("item"), F.col("ms").alias("ts")
         ))).alias("actions"),
         F.when(kind == "error", F.struct(F.col("k").alias("error_code"))).alias("err"),
+        F.when(F.col("k") % 5 == 0, F.col("event_id").cast("string")).alias("trace"),
         F.col("ms").alias("ts"),
     ))
+    written = (
+        F.when(F.col("k") % 4 == 1, F.regexp_replace(record, '"ts":([0-9]+)}$', '"ts":"$1"}'))
+        .when(F.col("k") % 4 == 2, F.regexp_replace(record, '"during_time":([0-9]+)', '"during_time":$1.5'))
+        .when(F.col("k") % 4 == 3, F.regexp_replace(record, '"during_time":([0-9]+)', '"during_time":"$1"'))
+        .otherwise(record)
+    )
     return rows.select(
         F.when(F.col("k") == 13, F.concat(F.lit("not json "), F.col("event_id")))
         .when(F.col("k") == 26, F.concat(F.lit('{"common":{"mid":"'), F.col("event_id")))
         .when(F.col("k") == 39, F.lit(""))
         .when(F.col("k") == 52, F.concat(F.lit('{"ts":'), F.col("event_id"), F.lit("} trailing")))
-        .otherwise(record).alias("value")
+        .when(F.col("k") == 65, F.concat(F.lit('{"ts":'), F.col("event_id"), F.lit("} trailing}")))
+        .when(F.col("k") == 78, F.concat(*[F.lit('{"ts":'), F.col("event_id"), F.lit("}")] * 2))
+        .otherwise(written).alias("value")
     )
 
 
+# --- keywords ---------------------------------------------------------------------------------------
+
+# Letters written as Han characters, two of them outside the basic block; blanks go, so that words run together.
+LETTERS = "abcdefghijklmnopqrstuvwxyz "
+HAN = "一丁七万丈三上下不与专且世丘丙业丛东丝丢两严丧个㐀𠀀"
+
+
+def han_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "conversations").select(
+        "conv_id", "turn", F.translate(F.lower("text"), LETTERS, HAN).alias("text"))
+
+
+def han_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of two to nine characters."""
+    found = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word")
+    words = table(spark, folder, "benchmark").select(found).filter("length(word) between 2 and 9").distinct()
+    return words.select(F.translate("word", LETTERS, HAN).alias("word"))
+
+
 # --- order details ----------------------------------------------------------------------------------
 
 

@@ -20,7 +20,7 @@ page as (
 
 LOGS = PAGE + """,
 clean as (
-  select *, epoch_us(ts) // 1000 as ms, cast(ts as date) as d from page where k not in (13, 26, 39, 52)
+  select *, epoch_us(ts) // 1000 as ms, cast(ts as date) as d from page where k not in (13, 26, 39, 52, 65, 78)
 ),
 logs as (
   select * replace (case when is_new = '1' and d <> first_value(case when is_new = '1' then d else d - 1 end)
@@ -124,6 +124,16 @@ def bucket(width: str, ts: str = "ts") -> str:
     )
 
 
+HAN_FROM = "abcdefghijklmnopqrstuvwxyz "
+HAN_TO = "一丁七万丈三上下不与专且世丘丙业丛东丝丢两严丧个㐀𠀀"
+
+
+def _words(text: str) -> str:
+    """Letter and digit runs of a text as a list; Han characters only part them."""
+    return (f"regexp_extract_all(regexp_replace(lower({text}), '\\p{{Han}}', ' ', 'g'), "
+            "'[\\p{L}\\p{N}][\\p{L}\\p{M}\\p{N}]*')")
+
+
 def _total(expr: str, name: str) -> str:
     return f"cast(sum({expr}) as bigint) as {name}"
 
@@ -231,21 +241,24 @@ ORACLE: dict[str, str] = {
     # logs
     "log_dirty_split": f"""with {PAGE} select case k when 13 then 'not json ' || event_id
           when 26 then '{{"common":{{"mid":"' || event_id when 39 then ''
-          else '{{"ts":' || event_id || '}} trailing' end as value
-        from page where k in (13, 26, 39, 52)""",
-    "log_error": f"""with {LOGS} select mid, is_new, page_id, '{{"error_code":' || k || '}}' as err, ms as ts
+          when 52 then '{{"ts":' || event_id || '}} trailing' when 65 then '{{"ts":' || event_id || '}} trailing}}'
+          else '{{"ts":' || event_id || '}}{{"ts":' || event_id || '}}' end as value
+        from page where k in (13, 26, 39, 52, 65, 78)""",
+    "log_error": f"""with {LOGS} select mid, is_new, 'md=phone ' || (k % 7) as common_more, page_id, '{{"error_code":' || k || '}}' as err, ms as ts
         from logs where event_type = 'error'""",
-    "log_start": f"""with {LOGS} select mid, vc, ch, is_new,
+    "log_start": f"""with {LOGS} select mid, vc, ch, is_new, 'md=phone ' || (k % 7) as common_more,
           '{{"entry":"icon","loading_time":' || k || '}}' as start, ms as ts
         from logs where event_type = 'signup'""",
-    "log_display_explode": f"""with {LOGS} select mid, is_new, page_id, cast(k + pos as varchar) as item,
+    "log_display_explode": f"""with {LOGS} select mid, is_new, 'md=phone ' || (k % 7) as common_more, page_id, cast(k + pos as varchar) as item,
           cast(pos as varchar) as pos_id, ms as ts
         from logs cross join (values (0), (1)) as positions(pos) where event_type = 'view'""",
-    "log_action_explode": f"""with {LOGS} select mid, is_new, page_id, 'cart_add' as action_id,
+    "log_action_explode": f"""with {LOGS} select mid, is_new, 'md=phone ' || (k % 7) as common_more, page_id, 'cart_add' as action_id,
           cast(k as varchar) as item, cast(ms as varchar) as action_ts
         from logs where event_type = 'click'""",
     "log_page": f"""with {LOGS} select mid, uid, vc, ch, ar, is_new, page_id, last_page_id,
-          cast(k as varchar) as item, 'keyword' as item_type, during_time, ms as ts
+          cast(k as varchar) as item, 'keyword' as item_type, during_time, ms as ts,
+          'md=phone ' || (k % 7) as common_more, 'source=s' || (k % 2) as page_more,
+          case when k % 5 = 0 then 'trace=' || event_id else '' end as more
         from logs where event_type <> 'signup'""",
     "is_new_repair": f"""with {PAGE} select event_id, mid, is_new,
           case when is_new = '1' and cast(ts as date) <> first_value(
@@ -275,13 +288,31 @@ ORACLE: dict[str, str] = {
           {_total('uv', 'uvCt')}, {_total('sv', 'svCt')}, {_total('pv', 'pvCt')},
           {_total('duration', 'durSum')}, {_total('uj', 'ujCt')} from traffic group by all""",
     # keywords
-    "keyword_explode": """select doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) as word
-        from documents""",
+    "keyword_explode": f"""select doc_id, unnest({_words('text')}) as word from documents""",
     "keyword_window": f"""with words as (
-          select timestamp '2024-01-01' + to_seconds(doc_id) as ts,
-            unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) as word from documents)
+          select timestamp '2024-01-01' + to_seconds(doc_id) as ts, unnest({_words('text')}) as word from documents)
         select {bucket('10 seconds')}, 'search' as source, word as keyword, count(*) as keyword_count
         from words group by all""",
+    "keyword_han": f"""with texts as (
+          select conv_id, turn, translate(lower(text), '{HAN_FROM}', '{HAN_TO}') as t from conversations),
+        vocabulary as (
+          select distinct translate(w, '{HAN_FROM}', '{HAN_TO}') as w, length(w) as n
+          from (select unnest(regexp_extract_all(lower(text), '[a-z]+')) as w from benchmark)
+          where length(w) between 2 and 9),
+        runs as (
+          select *, row_number() over () as r from (
+            select conv_id, turn, unnest(regexp_extract_all(t, '\\p{{Han}}+')) as run from texts)),
+        starts as (select r, run, unnest(generate_series(1, length(run))) as i from runs),
+        hits as (
+          select r, i, n, w from (select r, i, n, substring(run, i, n) as w
+            from starts, (select distinct n from vocabulary) where i + n - 1 <= length(run))
+          join vocabulary using (w, n)),
+        covered as (select distinct r, unnest(generate_series(i, i + n - 1)) as i from hits),
+        found as (
+          select r, w from hits union all
+          select r, substring(run, i, 1) from starts anti join covered using (r, i))
+        select conv_id, turn, w as word from found join runs using (r)
+        union all select conv_id, turn, unnest({_words('t')}) from texts""",
     # change rows
     "cdc_project": f"""with {STATES} select kind as type, cast(o_orderkey as varchar) as order_id,
           cast(o_custkey as varchar) as user_id, cast(c_nationkey as varchar) as province_id,

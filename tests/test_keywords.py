@@ -2,18 +2,18 @@ from __future__ import annotations
 
 import random
 
+import regex
+
 from retailflow.functions.keywords import explode_words
 
 
 def segment(text, words):
     """Plain replay of the rule for one text."""
-    import re
-
-    out = re.findall("[a-z0-9]+", text.lower())
-    for run in re.findall("[一-鿿]+", text):
+    out = regex.findall(r"[[\p{L}\p{N}]--\p{Han}][[\p{L}\p{M}\p{N}]--\p{Han}]*", text.lower(), regex.V1)
+    for run in regex.findall(r"\p{Han}+", text):
         covered = set()
         for i in range(len(run)):
-            for size in range(1, 7):
+            for size in range(1, 1 + max(map(len, words))):
                 if i + size <= len(run) and run[i:i + size] in words:
                     out.append(run[i:i + size])
                     covered.update(range(i, i + size))
@@ -28,10 +28,10 @@ def test_latin_only(spark):
 
 
 def test_words_overlap_and_single_characters(spark):
-    words = {"手机", "小米", "小米手机", "手机壳", "的"}
+    words = {"手机", "小米", "小米手机", "手机壳", "的", "小米手机壳的新手机壳", "㐀𠀀", "abc"}
     rng = random.Random(5)
-    alphabet = "小米手机壳的新a1 "
-    texts = ["小米手机壳", "新的手机", "小米"] * 40 + [
+    alphabet = "小米手机壳的新a1é㐀𠀀 "
+    texts = ["小米手机壳", "新的手机", "小米"] * 40 + ["小米手机壳的新手机壳" * 90, "größe naïve слово 2nd", ""] + [
         "".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 14))) for _ in range(60)
     ]
     df = spark.createDataFrame(list(enumerate(texts)), "id INT, item STRING")
@@ -41,3 +41,22 @@ def test_words_overlap_and_single_characters(spark):
         got.setdefault(row["id"], []).append(row["word"])
     assert {i: sorted(v) for i, v in got.items()} == {
         i: segment(t, words) for i, t in enumerate(texts) if segment(t, words)}
+
+
+def test_han_without_a_table_is_kept(spark):
+    df = spark.createDataFrame([(1, "小米 Größe13手")], "id INT, item STRING")
+    assert sorted(r["word"] for r in explode_words(df, "item").collect()) == sorted(["小", "米", "größe13", "手"])
+
+
+def test_empty_word_table(spark):
+    df = spark.createDataFrame([(1, "小米 a")], "id INT, item STRING")
+    table = spark.createDataFrame([], "word STRING")
+    assert sorted(r["word"] for r in explode_words(df, "item", table).collect()) == ["a", "小", "米"]
+
+
+def test_no_shuffle_carries_a_run_per_position(spark):
+    df = spark.createDataFrame([(1, "小米")], "id INT, item STRING")
+    table = spark.createDataFrame([("小米",)], "word STRING")
+    plan = explode_words(df, "item", table)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and not any("run#" in line.replace("_run#", "run#") for line in joins)

@@ -31,7 +31,8 @@ def shop_day():
 
 def test_dirty_text(spark):
     good = record()
-    bad = ["", "   ", "not json", good[:-5], good + " trailing", "[1]", "null", None]
+    bad = ["", "   ", "not json", good[:-5], good + " trailing", "[1]", "null", None,
+           good + " trailing}", good + good, good + "," + good, good + "]}", "1"]
     parsed = parse(spark, [good, f"  {good}\n", *bad])
     assert sorted(r["value"] or "" for r in logs.dirty_lines(parsed).collect()) == sorted(
         x or "" for x in bad
@@ -56,7 +57,27 @@ def test_outputs(spark):
     acts = out["action"].collect()
     assert [(r["action"]["ts"], r["common"]["mid"]) for r in acts] == [(str(NOON + 5), "m1")]
     assert out["page"].count() == 2
-    assert out["page"].columns == ["common", "page", "ts"]
+    assert out["page"].columns == ["common", "page", "ts", "more"]
+
+
+def test_records_of_unusual_types_stay_whole(spark):
+    line = json.dumps({"common": {"mid": "m", "md": {"os": "x"}}, "page": {"page_id": "p", "during_time": "12", "n": 1.5},
+                       "displays": {"item": 1}, "actions": "none", "ts": "1648785600000", "trace": [1, 2]})
+    parsed = parse(spark, [line, line.replace('"12"', "12.5"), '{"ts":"soon","common":7}', "{}"])
+    assert logs.dirty_lines(parsed).count() == 0
+    rows = [r.asDict(recursive=True) for r in logs.clean_logs(parsed).orderBy(F.desc_nulls_last("ts")).collect()]
+    for row in rows[:2]:
+        assert (row["ts"], row["page"]["during_time"]) == (NOON, 12)
+        assert row["common"]["more"] == {"md": '{"os":"x"}'}
+        assert row["page"]["more"] == {"n": "1.5"}
+        assert row["more"] == {"trace": "[1,2]"}
+        assert row["displays"] is None
+    assert [(r["ts"], r["common"]) for r in rows[2:]] == [(None, None)] * 2
+
+
+def test_equal_times_do_not_decide_at_random(spark):
+    lines = [record("a", "1", NOON), record("a", "0", NOON), record("a", "1", NOON + 5)]
+    assert repair(spark, lines)[("a", NOON + 5)] == repair(spark, lines[::-1])[("a", NOON + 5)] == "0"
 
 
 def repair(spark, lines):
