@@ -25,9 +25,17 @@ from retailflow.operators.lookup import dictionary_join
 Keep = Sequence[str]
 
 
-def with_operation_time(fact: DataFrame, name: str = "row_op_ts") -> DataFrame:
-    """Stamp the time of writing; it is constant within one batch."""
-    return fact.withColumn(name, F.current_timestamp())
+OPERATION_TIME = "row_op_ts"
+
+
+def with_operation_time(fact: DataFrame, name: str = OPERATION_TIME, at: Column | None = None) -> DataFrame:
+    """Stamp a row's version: ``at``, or else the time of writing, which is constant within one batch."""
+    return fact.withColumn(name, F.current_timestamp() if at is None else at)
+
+
+def _stamp(fact: DataFrame) -> list[str]:
+    """The version column, if the fact carries one: the facts made of it carry it on."""
+    return [OPERATION_TIME] if OPERATION_TIME in fact.columns else []
 
 
 def _data(key: str) -> Column:
@@ -98,8 +106,8 @@ def order_wide(changes: DataFrame, dictionary: DataFrame, database: str | None =
 
 
 def order_detail(wide: DataFrame) -> DataFrame:
-    """Placed order details: the versions that came with the order's insert."""
-    return wide.filter(F.col("type") == INSERT).select(*schemas.ORDER_DETAIL)
+    """Placed order details: the versions that came with the order's insert, with their ``row_op_ts`` if stamped."""
+    return wide.filter(F.col("type") == INSERT).select(*schemas.ORDER_DETAIL, *_stamp(wide))
 
 
 def order_cancel(wide: DataFrame) -> DataFrame:
@@ -126,7 +134,7 @@ def shape_pay_detail(joined: DataFrame, keep: Keep = ()) -> DataFrame:
     return (
         joined.withColumnRenamed("id", "order_detail_id")
         .withColumnRenamed("split_total_amount", "split_payment_amount")
-        .select(*schemas.PAY_DETAIL, *keep)
+        .select(*schemas.PAY_DETAIL, *_stamp(joined), *keep)
     )
 
 

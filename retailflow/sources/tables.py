@@ -8,7 +8,11 @@ from retailflow import schemas
 
 
 def dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """The code dictionary from Parquet.  A streaming join reads it anew in every micro-batch."""
+    """The code dictionary from Parquet, as it stands now.
+
+    A running stream that joins this frame keeps the files listed here; `streaming.jobs.dictionary_writer` reads the
+    dictionary anew in every micro-batch.
+    """
     return spark.read.schema(schemas.DICTIONARY).parquet(path)
 
 
@@ -26,10 +30,14 @@ def dimension_config(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.DIM_CONFIG).json(path)
 
 
-def stored_rows(spark: SparkSession, path: str, schema, stream: bool = False) -> DataFrame:
-    """Rows of a fact written by another job, all versions, in batch or as a stream."""
-    reader = spark.readStream if stream else spark.read
-    return reader.schema(schema).parquet(path)
+def stored_rows(spark: SparkSession, path: str, schema, stream: bool = False, bytes_per_trigger: int = 10 * 2**30) -> DataFrame:
+    """Rows of a fact written by another job, all versions, in batch or as a stream.
+
+    A stream over a backlog takes at most about ``bytes_per_trigger`` in one micro-batch.
+    """
+    if not stream:
+        return spark.read.schema(schema).parquet(path)
+    return spark.readStream.schema(schema).option("maxBytesPerTrigger", bytes_per_trigger).parquet(path)
 
 
 def land_changes(changes: DataFrame, path: str) -> None:

@@ -21,6 +21,11 @@ from retailflow.streaming import keyed
 DELAY = "2 seconds"
 ROLLUP_DELAY = "14 seconds"
 DEDUP_HORIZON = "5 seconds"
+# Columns of stored dimension rows, as `dims.route_dimensions` makes them.
+DIMENSION_ROWS = (
+    "sink_table STRING, sink_pk STRING, pk STRING, type STRING, data MAP<STRING, STRING>, ts STRING,"
+    " version DECIMAL(20, 0)"
+)
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -47,12 +52,40 @@ def table_writer(path: str, partition_by: Sequence[str] = ()) -> BatchWriter:
     return lambda df, batch_id: write_batch(df, path, batch_id, partition_by)
 
 
+def store(
+    df: DataFrame, name: str, path: str, every: str | None = None, checkpoints: str | None = None,
+    partition_by: Sequence[str] = (),
+) -> StreamingQuery:
+    """Run a streaming frame into a Parquet table that another stream may read.
+
+    Spark's file sink keeps a log of the files of each finished batch, and its readers follow that log: after a
+    failure nothing comes twice.
+    """
+    root = checkpoint_root(df.sparkSession, checkpoints)
+    writer = (
+        df.writeStream.queryName(name).outputMode("append").format("parquet").partitionBy(*partition_by)
+        .option("checkpointLocation", f"{root}/{name}").option("path", path)
+    )
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
+def dictionary_writer(
+    fact: Callable[[DataFrame, DataFrame], DataFrame], read_dictionary: Callable[[], DataFrame], write: BatchWriter
+) -> BatchWriter:
+    """Batch writer of ``fact(rows, dictionary)`` with the dictionary as it stands at the batch's start.
+
+    A code added while the stream runs is found by the next batch.  For facts without state, such as cart
+    additions, favourites and comments.
+    """
+    return lambda rows, batch_id: write(fact(rows, read_dictionary()), batch_id)
+
+
 # --- log split --------------------------------------------------------------------------------------
 
 
 def first_visit_table(path: str) -> KeyedTable:
     """First day of each device.  Every device is stored once, by the batch that saw it first."""
-    return keyed_table(path, "mid", [])
+    return keyed_table(path, "mid", [], schema="mid STRING, first_day DATE")
 
 
 def log_splitter(first_visits: KeyedTable, outputs: str, value: str = "value") -> BatchWriter:
@@ -224,9 +257,10 @@ def order_window(rows: DataFrame, ts: str = "ts", width: str = windows.WINDOW) -
 # --- dimensions -------------------------------------------------------------------------------------
 
 
-def dimension_store(root: str, ties: Sequence[str] = ()) -> KeyedTable:
+def dimension_store(root: str, ties: Sequence[str] = (), tie_type: str = "BIGINT") -> KeyedTable:
     """Keyed table of all dimensions: one row per dimension and key, one folder per dimension and batch."""
-    return keyed_table(root, ["sink_table", "pk"], ["version", *ties], ["sink_table"])
+    schema = ", ".join([DIMENSION_ROWS, *[f"`{tie}` {tie_type}" for tie in ties]])
+    return keyed_table(root, ["sink_table", "pk"], ["version", *ties], ["sink_table"], schema)
 
 
 def dimension_writer(

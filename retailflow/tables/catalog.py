@@ -311,7 +311,7 @@ def order_wide(spark, folder):
 
 @query
 def order_detail(spark, folder):
-    return facts.order_detail(_wide(spark, folder))
+    return facts.order_detail(facts.with_operation_time(_wide(spark, folder), at=F.col("create_time")))
 
 
 @query
@@ -322,7 +322,7 @@ def order_cancel(spark, folder):
 @query
 def pay_detail_suc(spark, folder):
     return facts.pay_detail(
-        inputs.order_fact_changes(spark, folder), facts.order_detail(_wide(spark, folder)),
+        inputs.order_fact_changes(spark, folder), order_detail(spark, folder),
         inputs.dictionary(spark), inputs.DATABASE,
     )
 

@@ -346,7 +346,7 @@ ORACLE: dict[str, str] = {
     "user_register": f"""with {EVENT_CHANGES} select id as user_id, strftime(second, '%Y-%m-%d') as date_id,
           cast(second as varchar) as create_time, ts_text as ts from changes where kind = 'insert'""",
     "order_wide": f"with {WIDE} select * from wide",
-    "order_detail": f"with {WIDE} select {_DETAIL_COLUMNS} from wide where type = 'insert'",
+    "order_detail": f"with {WIDE} select {_DETAIL_COLUMNS}, create_time as row_op_ts from wide where type = 'insert'",
     "order_cancel": f"""with {WIDE} select id, order_id, user_id, sku_id, sku_name, province_id, activity_id,
           activity_rule_id, coupon_id, operate_time as cancel_time, source_id, source_type_id,
           source_type_name, sku_num, order_price, split_activity_amount, split_coupon_amount,
@@ -360,7 +360,7 @@ ORACLE: dict[str, str] = {
         select wide.id as order_detail_id, order_id, user_id, sku_id, sku_name, province_id, activity_id,
           activity_rule_id, coupon_id, payment_type_code, payment_type_name, callback_time, source_id,
           source_type_id, source_type_name, sku_num, order_price, split_activity_amount,
-          split_coupon_amount, split_total_amount as split_payment_amount
+          split_coupon_amount, split_total_amount as split_payment_amount, create_time as row_op_ts
         from wide join paid using (order_id) where type = 'insert'""",
     "order_refund": f"""with {REFUNDS} select cast(id as varchar) as id, cast(o_custkey as varchar) as user_id,
           cast(l_orderkey as varchar) as order_id, cast(l_partkey as varchar) as sku_id,

@@ -77,3 +77,12 @@ def test_keyed_table(spark, tmp_path):
 def test_checkpoint_folder_comes_from_the_session(spark):
     assert checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert settings(7)["spark.sql.shuffle.partitions"] == "7"
+
+
+def test_keyed_table_without_rows(spark, tmp_path):
+    table = keyed_table(str(tmp_path / "empty"), "id", "v", ["part"], "id STRING, v INT, part STRING")
+    table.merge(spark.createDataFrame([], "id STRING, v INT, part STRING"), 0)
+    assert table.read(spark).collect() == []
+    table.compact(spark)
+    table.merge(spark.createDataFrame([("a", 1, "p")], "id STRING, v INT, part STRING"), 1)
+    assert [tuple(r) for r in table.read(spark).select("id", "v", "part").collect()] == [("a", 1, "p")]

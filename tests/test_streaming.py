@@ -7,16 +7,18 @@ import os
 import random
 import time
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from retailflow import schemas
 from retailflow.functions.keywords import explode_words
-from retailflow.operators import logs, visits, windows
+from retailflow.operators import logs, lookup, visits, windows
 from retailflow.operators.ordered import keep_first
 from retailflow.plans import facts
 from retailflow.plans import windows as plan_windows
+from retailflow.session import checkpoint_root
 from retailflow.sources.records import changelog_rows, file_lines
 from retailflow.sources.tables import dimension_config, stored_rows
 from retailflow.streaming import jobs, joins, keyed
@@ -518,3 +520,47 @@ def test_dimension_stream_and_compaction(spark, root):
     assert current() == expected
     writer(spark.read.text(f"{folder}/0002.txt").transform(changelog_rows), 3)
     assert current() == expected
+
+
+def test_a_code_added_while_the_stream_runs_is_found(spark, root):
+    folder = root / "codes"
+    put_files(folder, [["a"]])
+    dictionary = str(root / "code-table")
+    spark.createDataFrame([("a", "one")], "dic_code STRING, dic_name STRING").write.parquet(dictionary)
+    out = str(root / "coded")
+    writer = jobs.dictionary_writer(
+        lambda lines, dic: lookup.dictionary_join(lines, dic, "value", "name"),
+        lambda: spark.read.parquet(dictionary), jobs.table_writer(out))
+    query = jobs.start(file_lines(spark, str(folder), stream=True), "codes", writer, every="0 seconds")
+    try:
+        query.processAllAvailable()
+        spark.createDataFrame([("b", "two")], "dic_code STRING, dic_name STRING").write.mode("append").parquet(dictionary)
+        (folder / "0001.txt").write_text("b\n", encoding="utf-8")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(spark.read.parquet(out), ["value", "name"]) == {("a", "one"): 1, ("b", "two"): 1}
+
+
+def test_stored_table_gives_each_row_once_after_a_repeated_batch(spark, root):
+    """The commit of the upstream's last batch is lost, as if it had died there; it starts again after its reader."""
+    folder = root / "chained"
+    put_files(folder, [["a", "b"], ["c"]])
+    table, out = str(root / "chained-table"), str(root / "chained-out")
+
+    def upstream():
+        query = jobs.store(file_lines(spark, str(folder), stream=True), "chained-up", table)
+        query.awaitTermination()
+
+    def downstream():
+        run(stored_rows(spark, table, "value STRING", stream=True), "chained-down", root, jobs.table_writer(out))
+
+    upstream()
+    downstream()
+    commits = Path(checkpoint_root(spark)) / "chained-up" / "commits"
+    newest = max((c for c in commits.iterdir() if c.name.isdigit()), key=lambda c: int(c.name))
+    for lost in (newest, commits / f".{newest.name}.crc"):
+        lost.unlink(missing_ok=True)
+    upstream()
+    downstream()
+    assert rows(spark.read.parquet(out), ["value"]) == {("a",): 1, ("b",): 1, ("c",): 1}
