@@ -35,9 +35,14 @@ def route_dimensions(changes: DataFrame, config: DataFrame, keep: Sequence[str]
     )
 
 
+def without_key(routed: DataFrame) -> DataFrame:
+    """Rows whose configured key column is not in their data (or null): they belong to no dimension row."""
+    return routed.filter("pk is null")
+
+
 def latest_rows(routed: DataFrame, order: Sequence[str] = ("version",)) -> DataFrame:
-    """Current row of each dimension key: the last one in ``order``."""
-    return first_per_key(routed, ["sink_table", "pk"], [F.col(c).desc_nulls_last() for c in order])
+    """Current row of each dimension key: the last one in ``order``.  Rows of `without_key` are not among them."""
+    return first_per_key(routed.filter("pk is not null"), ["sink_table", "pk"], [F.col(c).desc_nulls_last() for c in order])
 
 
 def dimension_table(latest: DataFrame, sink_table: str, columns: str) -> DataFrame:

@@ -266,9 +266,14 @@ def dimension_store(root: str, ties: Sequence[str] = (), tie_type: str = "BIGINT
 def dimension_writer(
     read_config: Callable[[], DataFrame], table: KeyedTable, ties: Sequence[str] = ()
 ) -> BatchWriter:
-    """Batch writer that routes change rows by the configuration as it stands at the batch's start."""
+    """Batch writer that routes change rows by the configuration as it stands at the batch's start.
+
+    Rows without a key are kept apart, in the folder ``rejected`` of the table.
+    """
 
     def write(changes: DataFrame, batch_id: int) -> None:
-        table.merge(dims.route_dimensions(changes, read_config(), ties), batch_id)
+        routed = dims.route_dimensions(changes, read_config(), ties)
+        table.merge(routed.filter("pk is not null"), batch_id)
+        write_batch(dims.without_key(routed), f"{table.root}/rejected", batch_id)
 
     return write

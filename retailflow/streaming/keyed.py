@@ -182,12 +182,12 @@ def keep_latest(
     """Newest version of each key, sent once, ``hold_millis`` after the key's first row.
 
     Equal versions are decided by later arrival.  After sending, the key is forgotten, so a row that comes
-    later is sent again.  ``version`` is a timestamp.  The hold is measured in processing time, so the
+    later is sent again.  ``version`` is a timestamp; null is older than any.  The hold is measured in processing time, so the
     query must run on a repeating trigger; one that takes what is there and stops would never end.
     """
     keep = list(keep)
     packed = df.select(
-        key, F.unix_micros(F.col(version)).alias("_version"), _row_text(keep).alias("_row")
+        key, F.coalesce(F.unix_micros(F.col(version)), F.lit(-2**63)).alias("_version"), _row_text(keep).alias("_row")
     )
 
     def step(_key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:

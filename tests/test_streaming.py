@@ -502,7 +502,7 @@ def test_dimension_stream_and_compaction(spark, root):
     folder = put_files(root / "dims", [
         [row("1", "a", "insert", "9"), row("2", "b", "insert", "9"), row("2", "b2", "update", "10")],
         [row("1", "c", "update", "11"), row("3", "d", "bootstrap-insert", "11")],
-        [row("2", "e", "update", "12")]])
+        [row("2", "e", "update", "12"), row(None, "f", "insert", "12"), row(None, "g", "insert", "12")]])
     config = root / "config"
     config.mkdir()
     (config / "rules.json").write_text(json.dumps(
@@ -516,6 +516,8 @@ def test_dimension_stream_and_compaction(spark, root):
 
     expected = [("1", "c"), ("2", "e"), ("3", "d")]
     assert current() == expected
+    rejected = spark.read.parquet(f"{table.root}/rejected")
+    assert sorted(r["data"]["name"] for r in rejected.collect()) == ["f", "g"]
     table.compact(spark)
     assert current() == expected
     writer(spark.read.text(f"{folder}/0002.txt").transform(changelog_rows), 3)
