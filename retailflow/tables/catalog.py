@@ -15,12 +15,13 @@ from retailflow.functions import columns, times
 from retailflow.functions.columns import map_text
 from retailflow.functions.keywords import explode_words
 from retailflow.operators import changelog, logs, lookup, visits, windows
-from retailflow.operators.ordered import keep_latest
 from retailflow.plans import dims, facts
 from retailflow.plans import windows as plan_windows
 from retailflow.session import scratch_path
 from retailflow.sinks.shape import json_lines, positional
+from retailflow.sinks.tables import keyed_table
 from retailflow.sources.records import changelog_rows, json_table
+from retailflow.streaming import jobs
 from retailflow.tables import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,12 +73,16 @@ def snk_json_roundtrip(spark, folder):
 
 @query
 def snk_upsert_latest(spark, folder):
-    """Keyed snapshot of orders: the last change of each order id wins."""
+    """Keyed table of orders fed by two batches, the first one compacted: the last change of each order id wins."""
     changes = inputs.order_changes(spark, folder).select(
         *changelog.fields(["id", "order_status", "user_id", "operate_time"]), "ts",
         (F.col("type") == "update").alias("later"),
     )
-    return keep_latest(changes, "id", "ts", ["later"]).drop("later")
+    stored = keyed_table(scratch_path(spark, "orders"), "id", ["ts", "later"])
+    stored.merge(changes.filter("not later"), 0)
+    stored.compact(spark)
+    stored.merge(changes.filter("later"), 1)
+    return stored.read(spark).drop("later")
 
 
 @query
@@ -461,10 +466,10 @@ def dim_filter_columns(spark, folder):
 
 @query
 def dim_upsert_snapshot(spark, folder):
-    routed = dims.route_dimensions(
-        inputs.dimension_changes(spark, folder), inputs.dimension_config(spark)
-    )
-    return dims.dimension_table(dims.latest_rows(routed), "dim_sku_info", "id,sku_name,tm_id,price")
+    """The dimensions of one batch of changes, stored and read back."""
+    stored = jobs.dimension_store(scratch_path(spark, "dimensions"))
+    jobs.dimension_writer(lambda: inputs.dimension_config(spark), stored)(inputs.dimension_changes(spark, folder), 0)
+    return dims.dimension_table(stored.read(spark), "dim_sku_info", "id,sku_name,tm_id,price")
 
 
 # --- functions --------------------------------------------------------------------------------------
