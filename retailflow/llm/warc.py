@@ -6,8 +6,9 @@ commit makes retried tasks harmless.  Reading parses part files by their length
 capture meet again through WARC-Concurrent-To, and a revisit finds the record it refers to through
 WARC-Refers-To.
 
-Defined results: a null html is an empty payload; a null url is left out of the headers; identical rows are one
-capture; a row without an id is a capture without an id; other columns are ignored.
+Defined results: a null html is an empty payload; a null url is left out of the headers; every row is a capture of
+its own, identical rows are told apart by a number in their record ids; a row without an id is a capture without an
+id; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from retailflow.llm.common import batches, new_path, saved
@@ -37,28 +38,42 @@ RECORDS_SQL = ("record_id string, kind string, concurrent_to string, refers_to s
                "payload_bytes long, payload_digest string, fields string")
 
 
-def record_id(kind: str, page: Column, url: Column, digest: Column) -> Column:
-    """An id made from what the record holds, so a retried task writes the same one."""
-    name = F.sha1(F.concat_ws("\n", F.lit(kind), F.coalesce(page.cast("string"), F.lit("-")),
-                              F.coalesce(url, F.lit("-")), digest))
+def capture_name(page: Column, url: Column, digest: Column) -> Column:
+    """What a capture holds, as one value; a missing url differs from every url."""
+    return F.sha1(F.concat_ws("\n", F.coalesce(page.cast("string"), F.lit("-")),
+                              F.coalesce(F.concat(F.lit("+"), url), F.lit("-")), digest))
+
+
+def record_id(kind: str, name: Column, number: Column) -> Column:
+    """An id made from what the record holds and its number among equal rows, so a retried task writes the same one."""
+    name = F.sha1(F.concat_ws("\n", F.lit(kind), name, number.cast("string")))
     parts = [F.substring(name, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
 
 def captures(pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
-    """One row per page with its payload, digest and, where an equal payload has a later page, that page."""
+    """One row per page with its payload, digest, number among equal rows and, where an equal payload has a later page,
+    that page.
+
+    Payloads are shuffled once, by what tells captures apart; the search for equal payloads goes without them.
+    """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html"), F.lit("")).alias("payload"),
     ).withColumn("digest", F.sha1("payload")).withColumn("size", F.octet_length("payload").cast("long"))
+    rows = rows.withColumn("name", capture_name(F.col("page_id"), F.col("url"), F.col("digest")))
     owners = (
         rows.where(F.col("size") >= min_bytes).groupBy("digest")
         .agg(F.max(F.struct("page_id", "url")).alias("owner"), F.count(F.lit(1)).alias("n"))
         .where("n > 1").select("digest", "owner")
     )
-    joined = rows.join(owners.hint("shuffle_hash"), "digest", "left")
-    revisit = F.col("owner").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("owner.page_id"))
-    return joined.withColumn("owner", F.when(revisit, F.col("owner")))
+    revisits = (
+        rows.select("name", "page_id", "digest").join(owners.hint("shuffle_hash"), "digest")
+        .where(~F.col("page_id").eqNullSafe(F.col("owner.page_id"))).select("name", "owner").distinct()
+    )
+    # Equal rows are the same in all that is written, so it does not matter which one gets which number.
+    number = F.row_number().over(Window.partitionBy("name").orderBy("name"))
+    return rows.join(revisits.hint("shuffle_hash"), "name", "left").withColumn("number", number)
 
 
 def _record(headers: list[Column], block: Column) -> Column:
@@ -73,10 +88,10 @@ def _line(name: str, value: Column) -> Column:
 
 def records(rows: DataFrame, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
     """Three records of text per capture, in one column ``value``."""
-    page, url, digest = F.col("page_id"), F.col("url"), F.col("digest")
+    url, digest, name, number = F.col("url"), F.col("digest"), F.col("name"), F.col("number")
     revisit = F.col("owner").isNotNull()
-    main = record_id("response", page, url, digest)
-    target = record_id("response", F.col("owner.page_id"), F.col("owner.url"), digest)
+    main = record_id("response", name, number)
+    target = record_id("response", capture_name(F.col("owner.page_id"), F.col("owner.url"), digest), F.lit(1))
     safe = F.regexp_replace(url, r"[\x00-\x20]", "%20")
     uri, at, to = _line("WARC-Target-URI", safe), F.lit(f"WARC-Date: {date}"), _line("WARC-Concurrent-To", main)
     http = F.concat(F.lit(CRLF.join(("HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8", "Content-Length: "))),
@@ -89,12 +104,12 @@ def records(rows: DataFrame, date: str = "1970-01-01T00:00:00Z") -> DataFrame:
         F.when(revisit, http).otherwise(F.concat(http, F.col("payload"))))
     host = F.coalesce(F.regexp_extract(safe, r"^[a-zA-Z]+://([^/?#]*)", 1), F.lit("-"))
     request = _record(
-        [F.lit("WARC-Type: request"), _line("WARC-Record-ID", record_id("request", page, url, digest)), uri, at, to,
+        [F.lit("WARC-Type: request"), _line("WARC-Record-ID", record_id("request", name, number)), uri, at, to,
          F.lit("Content-Type: application/http;msgtype=request")],
         F.concat(F.lit("GET "), F.coalesce(safe, F.lit("-")), F.lit(f" HTTP/1.1{CRLF}Host: "), host, F.lit(CRLF * 2)))
     fields = F.to_json(F.struct("page_id", "url"))
     metadata = _record(
-        [F.lit("WARC-Type: metadata"), _line("WARC-Record-ID", record_id("metadata", page, url, digest)), uri, at, to,
+        [F.lit("WARC-Type: metadata"), _line("WARC-Record-ID", record_id("metadata", name, number)), uri, at, to,
          F.lit("Content-Type: application/warc-fields")],
         F.concat(F.lit("capture: "), fields, F.lit(CRLF)))
     return rows.select(F.explode(F.array(request, answer, metadata)).alias("value"))

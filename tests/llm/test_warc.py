@@ -36,6 +36,19 @@ def test_round_trip_and_revisits(spark, tmp_path):
     assert kinds.count("request") == kinds.count("metadata") == len(rows)
 
 
+def test_repeated_rows_are_captures_of_their_own(spark, tmp_path):
+    rows = [(1, "u", LONG)] * 3 + [(2, "u", LONG)] * 2 + [(None, None, LONG)] * 2 + [(3, "u", "x")] * 4
+    rows += [(4, None, "y"), (4, "-", "y")]
+    pages = spark.createDataFrame([(*r, "d", 1) for r in rows], SCHEMA).repartition(3)
+    got = warc.round_trip(pages, path=str(tmp_path / "r")).collect()
+    assert sorted((str(r.metadata.page_id), r.response.kind, r.original.page_id if r.original else None)
+                  for r in got) == sorted([("1", "revisit", 2)] * 3 + [("2", "response", None)] * 2 + [
+                      ("None", "revisit", 2)] * 2 + [("3", "response", None)] * 4 + [("4", "response", None)] * 2)
+    text = b"".join(gzip.decompress(p.read_bytes()) for p in Path(tmp_path / "r").glob("part-*"))
+    ids = [h["WARC-Record-ID"] for h, _ in warc.parse_archive(text)]
+    assert len(ids) == len(set(ids)) == 3 * len(rows)
+
+
 def test_empty_table(spark):
     assert warc.round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
 
