@@ -8,8 +8,9 @@ next rarest, until nothing is left or all terms agree: an exact phrase match.  W
 that many words away from its place: a proximity match.
 
 Defined results: a null text has no words; a text without words has no windows and is never hit; an item shorter
-than a window is one window; repeated rows each give a row; a null id is carried as null; an empty benchmark or
-corpus gives no hits or no rows; other columns are ignored.
+than a window is one window; repeated rows each give a row; a null doc_id is carried as null; benchmark rows with a
+null item_id hit words like others but are not among the items; an empty benchmark or corpus gives no hits or no
+rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -93,7 +94,7 @@ def build_index(documents: DataFrame, shard_words: int = 500_000) -> DataFrame:
 
 
 def item_windows(benchmark: DataFrame, width: int) -> DataFrame:
-    """``window, item``: every window of every item once."""
+    """``window, item``: every window of every item once; the item of a row without an id is null."""
     schema = pa.schema([("window", pa.binary()), ("item", pa.string())])
 
     def run(parts):
@@ -102,18 +103,17 @@ def item_windows(benchmark: DataFrame, width: int) -> DataFrame:
              for item, text in zip(batch.column(0).to_pylist(), batch.column(1))
              for w in dict.fromkeys(windows_of(words_of(text.as_py()), width))), schema)
 
-    return benchmark.where("item_id is not null").select(
-        F.col("item_id").cast("string"), F.col("text").cast("string")
-    ).mapInArrow(run, "window binary, item string").distinct()
+    return benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).mapInArrow(
+        run, "window binary, item string").distinct()
 
 
 class Queries:
     """A block of windows, with their words coded, ready to be run against shards."""
 
-    def __init__(self, pairs: list[tuple[bytes, str]]):
-        items = defaultdict(list)
+    def __init__(self, pairs: list[tuple[bytes, str | None]]):
+        items: dict[bytes, list[str]] = {}
         for window, item in pairs:
-            items[window].append(item)
+            items.setdefault(window, []).extend([] if item is None else [item])
         self.items = list(items.values())
         split = [w.split(b" ") for w in items]
         self.terms = list(dict.fromkeys(t for w in split for t in w))
@@ -153,7 +153,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[dict]:
     return out
 
 
-def search_index(index: DataFrame, pairs: list[tuple[bytes, str]], slop: int = 0) -> DataFrame:
+def search_index(index: DataFrame, pairs: list[tuple[bytes, str | None]], slop: int = 0) -> DataFrame:
     """One row per document and block: merged word spans that windows hit, and the items the windows belong to."""
     sent = index.sparkSession.sparkContext.broadcast(pickle.dumps(pairs))
 

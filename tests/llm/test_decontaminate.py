@@ -7,6 +7,7 @@ import re
 
 import pandas as pd
 
+import corpus_pipeline
 from retailflow.llm import decontaminate, queries
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -62,6 +63,18 @@ def test_edges_blocks_and_shards(spark):
     assert run(spark, docs, items, block_windows=7, shard_words=30) == want
 
 
+def test_items_without_an_id_hit_words_and_are_no_items(spark, tmp_path):
+    docs = [(1, "x one two y"), (2, "three four"), (3, "one two three four"), (4, "five"), (5, "clean text")]
+    items = [(None, "one two"), (None, "three four"), (7, "three four"), (None, "five"), (None, None)]
+    none, seven = (hashlib.sha256(x).hexdigest() for x in (b"", b"7"))
+    want = [(1, 4, 2, 0, none, True), (2, 2, 2, 1, seven, True), (3, 4, 4, 1, seven, True), (4, 1, 1, 0, none, True),
+            (5, 2, 0, 0, none, False)]
+    assert run(spark, docs, items) == run(spark, docs, items, block_windows=1, shard_words=3) == want
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    left = corpus_pipeline.drop_contaminated(spark, spark.createDataFrame(docs, "doc_id long, text string"), str(tmp_path))
+    assert [r.doc_id for r in left.collect()] == [5]
+
+
 def test_empty_tables(spark):
     assert run(spark, [], [(1, "a b")]) == []
     assert [r[2] for r in run(spark, [(1, "a b")], [])] == [0]
