@@ -6,10 +6,13 @@ capacity of its edge to the source or the sink.  Blocks that follow each other o
 tied by smoothness edges.  The minimum cut, found by augmenting paths, separates content from boilerplate.
 
 The text part of the classifier is trained on a bounded sample of pages that mark their article themselves, with
-the weights below as a prior; the weights of places are fixed.
+the weights below as a prior; the weights of places are fixed, and their sum is bounded.  A bad place does not count
+against a main text element (article, main) where the page has none in a better place, nor, on pages without such
+elements, if it holds most of the page's text.
 
 Defined results: a null, empty or wholly cut page has an empty text; unclosed elements end with their parent, an
-unclosed comment, script or style with the page; repeated rows each give a row; other columns are ignored.
+unclosed comment or element of raw text (script, style, textarea, title, iframe, noframes) with the page; repeated
+rows each give a row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,8 +35,8 @@ TAG = re.compile(
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
 
 # Fixed values of the page language.
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "select",
-       "noframes", "canvas", "audio", "video", "datalist"}
+RAW = {"script", "style", "textarea", "title", "iframe", "noframes"}
+SKIPPED = {"noscript", "template", "svg", "math", "object", "select", "canvas", "audio", "video", "datalist"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img",
           "ins", "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup",
@@ -59,7 +62,9 @@ BAD_WORDS = {
     "recommended", "recommendations", "hidden", "skip", "bottombar", "sidenav", "commentlist", "toc",
 }
 GOOD_WORDS = {"article", "post", "entry", "story", "main", "body", "content", "text", "hentry"}
-BAD_WORD, GOOD_WORD, HIDDEN = -12.0, 2.0, -12.0
+BAD_WORD, BAD_PART, GOOD_WORD, HIDDEN = -12.0, -5.0, 2.0, -12.0
+# Bound of a place's sum; the share of a page's text that no bad place holds.
+BOUND, MOST = 6.0, 0.75
 
 # Prior weights of what a block looks like; training moves them.
 FEATURES = ("one", "log_words", "link_share", "sentence", "marks", "heading", "item", "cell", "paragraph", "copyright")
@@ -74,32 +79,85 @@ class Block:
 
 
 @lru_cache(maxsize=4096)
-def place_of(tag: str, attributes: str) -> float:
-    """Log-odds that an element adds to what it holds."""
-    value = ELEMENTS.get(tag, 0.0)
+def place_of(tag: str, attributes: str) -> tuple[float, bool, bool]:
+    """Log-odds that an element adds to what it holds, whether it says that it is main text, whether it is hidden."""
+    value, main = ELEMENTS.get(tag, 0.0), tag in ("article", "main")
     if not attributes or tag in ("html", "body"):
-        return value
+        return value, main, False
     found = {m[0].lower(): html.unescape(m[1] or m[2] or m[3] or "") for m in ATTRIBUTE.findall(attributes)}
-    value += ROLES.get(found.get("role", "").lower(), 0.0)
+    role = found.get("role", "").lower()
+    value += ROLES.get(role, 0.0)
+    main = main or role in ("article", "main")
     style = found.get("style", "").replace(" ", "").lower()
-    if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style:
+    hidden = ("hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style
+              or "visibility:hidden" in style)
+    if hidden:
         value += HIDDEN
-    names = re.sub(r"([a-z])([A-Z])", r"\1 \2", found.get("class", "") + " " + found.get("id", ""))
-    words = set(re.findall(r"[a-z]+", names.lower()))
-    if words & BAD_WORDS:
+    # A whole name says more than a word in it: "sidebar" is one, "with-sidebar" has one.
+    names = [re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+             for name in (found.get("class", "") + " " + found.get("id", "")).split()]
+    whole, words = {n[0] for n in names if len(n) == 1}, {w for n in names for w in n}
+    if whole & BAD_WORDS:
         value += BAD_WORD
+    elif whole & GOOD_WORDS:
+        value += GOOD_WORD
+    elif words & BAD_WORDS:
+        value += BAD_PART
     elif words & GOOD_WORDS:
         value += GOOD_WORD
-    return value
+    return value, main, hidden
+
+
+class Element:
+    """An open or closed element: its parent's number, what it adds, and the text it holds."""
+
+    __slots__ = ("parent", "value", "main", "hidden", "held")
+
+    def __init__(self, parent: int, value: float, main: bool, hidden: bool):
+        self.parent, self.value, self.main, self.hidden, self.held = parent, value, main, hidden, 0
+
+
+def set_places(blocks: list[Block], owners: list[int], elements: list[Element]) -> None:
+    """Sum up the place of each block; ``owners`` are the elements the blocks stand in, parents come first."""
+    for block, at in zip(blocks, owners):
+        elements[at].held += len(block.text)
+    for e in reversed(elements[1:]):
+        elements[e.parent].held += e.held
+
+    def summed(free: set[int]) -> list[float]:
+        """Sums from the root on; elements of ``free`` start anew.  In a bad place nothing else is a gain."""
+        out = [0.0]
+        for i, e in enumerate(elements[1:], 1):
+            above = 0.0 if i in free else out[e.parent]
+            out.append(max(-BOUND, min(BOUND, above + (min(0.0, e.value) if above < 0 else e.value))))
+        return out
+
+    places = summed(set())
+    mains = [i for i, e in enumerate(elements) if e.main and e.held]
+    if mains and not any(places[i] > 0 for i in mains):
+        seen = [False]
+        for e in elements[1:]:
+            seen.append(seen[e.parent] or e.hidden)
+        able = [i for i in mains if elements[i].value >= 0 and not seen[i]]
+        top = max((elements[i].held for i in able), default=0)
+        places = summed({i for i in able if 2 * elements[i].held >= top})
+    elif not mains:
+        for e in elements[1:]:
+            if e.value < 0 and not e.hidden and e.held >= MOST * elements[0].held:
+                e.value = 0.0
+        places = summed(set())
+    for block, at in zip(blocks, owners):
+        block.place = places[at]
 
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order; inline elements do not end a block."""
     out: list[Block] = []
-    # Open elements: name, summed place, number.
-    stack: list[tuple[str, float, int]] = [("", 0.0, 0)]
+    # Open elements: name, number.
+    stack: list[tuple[str, int]] = [("", 0)]
+    elements, owners = [Element(0, 0.0, False, False)], []
     pieces: list[str] = []
-    linked = links = number = 0
+    linked = links = skipped = 0
     at, end = 0, len(page)
 
     def flush() -> None:
@@ -108,19 +166,21 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join(html.unescape("".join(pieces)).split())
             pieces.clear()
             if text:
-                tag, place, parent = next((x for x in reversed(stack) if x[0] not in INLINE), stack[0])
-                out.append(Block(text, min(linked, len(text)), tag, stack[-1][1], parent))
+                tag, parent = next((x for x in reversed(stack) if x[0] not in INLINE), stack[0])
+                out.append(Block(text, min(linked, len(text)), tag, 0.0, parent))
+                owners.append(stack[-1][1])
         linked = 0
 
     def pop_to(i: int) -> None:
-        nonlocal links
+        nonlocal links, skipped
         links -= sum(x[0] == "a" for x in stack[i:])
+        skipped -= sum(x[0] in SKIPPED for x in stack[i:])
         del stack[i:]
 
     while at < end:
         m = TAG.search(page, at)
         stop = m.start() if m else end
-        if stop > at:
+        if stop > at and not skipped:
             pieces.append(page[at:stop])
             if links:
                 linked += len(page[at:stop].strip())
@@ -131,7 +191,7 @@ def blocks_of(page: str) -> list[Block]:
         if tag is None:
             continue
         tag = tag.lower()
-        if tag == "br" or tag == "hr":
+        if (tag == "br" or tag == "hr") and not skipped:
             pieces.append("\n")
         if tag not in INLINE and tag != "br":
             flush()
@@ -156,15 +216,20 @@ def blocks_of(page: str) -> list[Block]:
                 i -= 1
         if tag in VOID or m[3].endswith("/>") and tag not in INLINE:
             continue
-        number += 1
-        inside = place_of(tag, m[3].rstrip(">").strip())
-        if tag == "header" and any(x[0] in ("article", "main") for x in stack):
-            inside = 0.0  # an article's own head
-        elif tag in ("article", "main") and any(x[0] in ("article", "main") for x in stack):
-            inside = 0.0
-        stack.append((tag, stack[-1][1] + inside, number))
+        if tag in SKIPPED and m[3].rstrip(">").endswith("/"):
+            continue
+        value, main, hidden = place_of(tag, m[3].rstrip(">").strip())
+        inside = (main or tag == "header") and any(elements[x[1]].main for x in stack)
+        if tag == "header" and inside:
+            value = 0.0  # an article's own head
+        elif main and inside:
+            value, main = min(0.0, value), False
+        elements.append(Element(stack[-1][1], value, main, hidden))
+        stack.append((tag, len(elements) - 1))
         links += tag == "a"
+        skipped += tag in SKIPPED
     flush()
+    set_places(out, owners, elements)
     return out
 
 

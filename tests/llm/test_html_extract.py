@@ -46,6 +46,27 @@ def test_other_layout(weights):
     assert html_extract.extract(LAYOUT, weights) == want
 
 
+TEXT = "This is a long sentence of the article, which goes on, and on, for many words. " * 4
+MENU = "<nav><a href=x>Home</a> <a href=y>News of the day</a></nav>"
+FOOT = "<footer>(c) 2024 All rights reserved.</footer>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<body>{MENU}<div class='page with-sidebar'><article><p>{TEXT}</article></div>{FOOT}",
+    f"<body>{MENU}<article class='post comment-open'><p>{TEXT}</article>{FOOT}",
+    f"<body><form action=/>{MENU}<article><p>{TEXT}</article>{FOOT}</form>",
+    f"<body><form action=/>{MENU}<div><p>{TEXT}</div>{FOOT}</form>",
+    f"<body>{MENU}<div class='page with-sidebar'><p>{TEXT}</div>{FOOT}",
+    f"<body>{MENU}<article><p>{TEXT}</article><div class=comments><article class=comment><p>{TEXT}</article></div>",
+    f"<body>{MENU}<article><p>{TEXT}</article><div class=related><article><p>{TEXT}</article></div>{FOOT}",
+    *(f"<body><div><{tag}>not text</div>{MENU}<article><p>{TEXT}</article>{FOOT}"
+      for tag in ("select", "svg", "object", "noscript", "canvas", "video")),
+    f"<body><div><select><option>a</div>{MENU}<article><p>{TEXT}</article><select><option>b</select>{FOOT}",
+])
+def test_articles_in_bad_places_and_after_unclosed_elements(page):
+    assert html_extract.extract(page) == [TEXT.strip()]
+
+
 def test_cut_is_minimal():
     rng = random.Random(2)
     for _ in range(60):
