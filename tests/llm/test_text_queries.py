@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(entry_module.queries())
 
 
