@@ -6,6 +6,7 @@ checkpoint.  Jobs are chained through stored tables, as the topics chain them in
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -14,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from retailflow.operators import logs, visits, windows
 from retailflow.plans import dims
 from retailflow.session import checkpoint_root
-from retailflow.sinks.tables import KeyedTable, append_lines, keyed_table, write_batch
+from retailflow.sinks.tables import KeyedTable, append_lines, is_finished, keyed_table, write_batch
 from retailflow.streaming import keyed
 
 # Event-time delays. The rollup waits for the bounce span.
@@ -32,24 +33,54 @@ BatchWriter = Callable[[DataFrame, int], None]
 
 def start(
     df: DataFrame, name: str, write: BatchWriter, every: str | None = None,
-    checkpoints: str | None = None,
+    checkpoints: str | None = None, mode: str = "append",
 ) -> StreamingQuery:
-    """Run a streaming frame into a batch writer.
+    """Run a streaming frame into a batch writer; frames of `keyed.day_firsts` need ``mode="update"``.
 
     Without ``every`` the query takes what is there now and stops; its checkpoint lies under the
     session's ``spark.checkpoint.dir``, so the next start resumes.
     """
     root = checkpoint_root(df.sparkSession, checkpoints)
     writer = (
-        df.writeStream.queryName(name).outputMode("append")
+        df.writeStream.queryName(name).outputMode(mode)
         .option("checkpointLocation", f"{root}/{name}").foreachBatch(write)
     )
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
 
+def drain(query: StreamingQuery, seconds: float = 600, pause: float = 0.2) -> None:
+    """Wait until a query on a repeating trigger has read its input and holds no state, then stop it.
+
+    For queries with processing-time timers, which never end by themselves.
+    """
+    deadline = time.monotonic() + seconds
+    try:
+        query.processAllAvailable()
+        while time.monotonic() < deadline:
+            if query.exception() is not None:
+                raise query.exception()
+            last = query.lastProgress
+            if last and not last["numInputRows"] and all(o["numRowsTotal"] == 0 for o in last["stateOperators"]):
+                return
+            time.sleep(pause)
+        raise TimeoutError(f"{query.name} still holds rows")
+    finally:
+        query.stop()
+
+
 def table_writer(path: str, partition_by: Sequence[str] = ()) -> BatchWriter:
-    return lambda df, batch_id: write_batch(df, path, batch_id, partition_by)
+    """Writer of one folder per batch.
+
+    A batch that is written whole is not written again, so readers that follow the folders as a stream see its files
+    once.  Batch numbers start anew with a new checkpoint, which therefore needs a new folder.
+    """
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        if not is_finished(df.sparkSession, path, batch_id):
+            write_batch(df, path, batch_id, partition_by)
+
+    return write
 
 
 def store(
@@ -143,10 +174,8 @@ def page_stream(pages: DataFrame) -> DataFrame:
 
 
 def unique_visitors(pages: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """First session entry of each device and day."""
-    return keyed.day_changes(pages.filter(visits.is_entry()), "mid", "ts", keep).drop(
-        "day", "previous_day"
-    )
+    """First session entry of each device and day; output mode ``update``."""
+    return keyed.day_firsts(pages.filter(visits.is_entry()), "mid", "ts", keep).drop("day")
 
 
 def user_jumps(pages: DataFrame, keep: Sequence[str], span_seconds: int = visits.BOUNCE_SECONDS) -> DataFrame:
@@ -156,8 +185,9 @@ def user_jumps(pages: DataFrame, keep: Sequence[str], span_seconds: int = visits
 
 
 def home_detail_visitors(pages: DataFrame) -> DataFrame:
+    """0/1 counters of the first home and first detail page of each device and day; output mode ``update``."""
     seen = pages.filter(F.col("page_id").isin(visits.HOME_PAGE, visits.DETAIL_PAGE))
-    firsts = keyed.day_changes(seen, ["mid", "page_id"], "ts", ["page_id", "ts"])
+    firsts = keyed.day_firsts(seen, ["mid", "page_id"], "ts", ["page_id", "ts"])
     return firsts.select(
         "ts",
         (F.col("page_id") == visits.HOME_PAGE).cast("bigint").alias("home"),
@@ -165,23 +195,36 @@ def home_detail_visitors(pages: DataFrame) -> DataFrame:
     )
 
 
-def login_visitors(pages: DataFrame) -> DataFrame:
-    logins = keyed.day_changes(pages.filter(visits.is_login()), "uid", "ts", ["ts"], ttl_millis=None)
-    gap = F.date_diff(F.col("day").cast("date"), F.col("previous_day").cast("date"))
+# Columns of stored first rows of a day, as `daily_logins` and `daily_users` make them.
+USER_DAYS = "user STRING, ts TIMESTAMP, day DATE"
+
+
+def daily_users(df: DataFrame, user: str, ts: str) -> DataFrame:
+    """First row of each user and day, as ``user``, ``ts``, ``day``; output mode ``update``."""
+    rows = df.select(F.col(user).alias("user"), F.col(ts).alias("ts"))
+    return keyed.day_firsts(rows, "user", "ts", ["user", "ts"])
+
+
+def daily_logins(pages: DataFrame) -> DataFrame:
+    """First login of each user and day; output mode ``update``."""
+    return daily_users(pages.filter(visits.is_login()), "uid", "ts")
+
+
+def login_visitors(firsts: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """Counters of stored `daily_logins`; ``history`` (``user``, ``day``) is what earlier results hold."""
+    logins = keyed.with_previous_day(firsts, "user", ["ts", "day"], history)
+    gap = F.date_diff("day", "previous_day")
     return logins.select(
         "ts", F.lit(1).cast("bigint").alias("unique_user"),
         F.coalesce((gap >= visits.RETURN_DAYS).cast("bigint"), F.lit(0)).alias("back"),
     )
 
 
-def daily_users(df: DataFrame, user: str, ts: str) -> DataFrame:
-    return keyed.day_changes(df, user, ts, [user, ts]).select(user, ts)
-
-
-def paying_users(df: DataFrame, user: str, ts: str) -> DataFrame:
-    firsts = keyed.day_changes(df, user, ts, [ts], ttl_millis=None)
-    return firsts.select(
-        ts, F.lit(1).cast("bigint").alias("unique_user"),
+def paying_users(firsts: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """Counters of stored `daily_users` of payments or orders; ``history`` as in `login_visitors`."""
+    known = keyed.with_previous_day(firsts, "user", ["ts"], history)
+    return known.select(
+        "ts", F.lit(1).cast("bigint").alias("unique_user"),
         F.col("previous_day").isNull().cast("bigint").alias("new_user"),
     )
 
@@ -192,9 +235,9 @@ def text_time(df: DataFrame, column: str, name: str = "ts") -> DataFrame:
 
 
 def cart_users(carts: DataFrame) -> DataFrame:
-    """First cart addition of each user and day, from a cart fact stream."""
+    """First cart addition of each user and day, from a cart fact stream; output mode ``update``."""
     timed = carts.withColumn("_time", F.coalesce("operate_time", "create_time"))
-    return daily_users(text_time(timed, "_time"), "user_id", "ts")
+    return daily_users(text_time(timed, "_time"), "user_id", "ts").drop("day")
 
 
 def latest_payments(paid: DataFrame) -> DataFrame:
@@ -203,8 +246,8 @@ def latest_payments(paid: DataFrame) -> DataFrame:
 
 
 def payment_users(latest: DataFrame) -> DataFrame:
-    """First payment of each user and day, from stored `latest_payments`."""
-    return paying_users(text_time(latest, "callback_time"), "user_id", "ts")
+    """First payment of each user and day, from stored `latest_payments`; output mode ``update``."""
+    return daily_users(text_time(latest, "callback_time"), "user_id", "ts")
 
 
 def latest_details(details: DataFrame) -> DataFrame:

@@ -1,95 +1,106 @@
 """Keyed state for streams: what the batch forms do with a whole history, kept per key between batches.
 
-Only the state transition runs in Python, on Arrow batches; filters, projections and windows stay with
-Spark.  What one call can hold of a key is bounded by the source's per-trigger limit.  The output carries no
-watermark, so it is written to a table and the windows read it from there.
+First rows of a day are an aggregate inside the JVM.  What needs more than an aggregate runs in stateful processors with
+typed state and timers, fed with the few columns they read: the last day of a user, the pages a device still waits on, the newest
+version of an id.  A processor is called once per key and batch, and what it holds is bounded by days, by the watermark
+delay, or by one row.  The output of the processors carries no watermark, so it is written to a table and the
+windows read it from there.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql.streaming import StatefulProcessor
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import StructField, StringType, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from retailflow.functions.columns import as_list
 from retailflow.operators.visits import BOUNCE_SECONDS
 
-DAY_MILLIS = 24 * 3600 * 1000
 # Fixed value.
 HOLD_MILLIS = 5000
+# A little over a day, so that the day before the newest one stays open where clocks change.
+DAY_DELAY = "26 hours"
 
 _ONE_TEXT = StructType([StructField("value", StringType())])
 
 
-def _with_clock(df: DataFrame, ts: str) -> DataFrame:
-    return df.withColumn("_ms", F.unix_millis(F.col(ts))).withColumn(
-        "_day", F.col(ts).cast("date").cast("string")
-    )
+def day_firsts(df: DataFrame, key: str | Sequence[str], ts: str, keep: Sequence[str]) -> DataFrame:
+    """Earliest row of each key and day within the micro-batch that sees this key on this day first.
 
+    An aggregate with map-side partial results, so a hot key sends one row per task.  Its state holds one row per key and
+    day, and a day goes when the newest day is two days later.  A group is sent in the batch that made it and never
+    again: the batch's time, which Spark fixes per batch and logs for a repeated one, tells.
 
-def _schema(df: DataFrame, names: Sequence[str], *added: str) -> StructType:
-    by_name = {f.name: f for f in df.schema.fields}
-    return StructType(
-        [by_name[n] for n in names] + [StructField(name, StringType()) for name in added]
-    )
+    Start the query with output mode ``update``.  Output: the ``keep`` columns and ``day``.
+    """
+    keys = as_list(key)
+    rows = df.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.date_trunc("day", ts).alias("_day"),
+        F.col(ts).alias("_ts"), F.struct(*keep).alias("_row"), F.current_timestamp().alias("_seen"),
+    ).withWatermark("_day", DAY_DELAY)
+    firsts = rows.groupBy(*[f"_k{i}" for i in range(len(keys))], "_day").agg(
+        F.min_by("_row", "_ts").alias("_row"), F.min("_seen").alias("_seen"))
+    return firsts.filter(F.col("_seen") == F.current_timestamp()).select(
+        *[F.col(f"_row.`{c}`").alias(c) for c in keep], F.col("_day").cast("date").alias("day"))
+
+
+class _PreviousDay(StatefulProcessor):
+    """State: a key's newest day and the one before it."""
+
+    def __init__(self, keep: Sequence[str]):
+        self.keep = list(keep)
+
+    def init(self, handle) -> None:
+        self.days = handle.getValueState("days", "newest date, earlier date")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        newest, earlier = self.days.get() or (None, None)
+        for row in sorted(rows, key=lambda r: r["day"]):
+            day = row["day"]
+            if newest is None or day > newest:
+                previous, newest, earlier = newest, day, newest
+            else:
+                # A day that comes late: the key is known, and how long it had been away then is not.
+                previous = earlier if earlier is not None and earlier < day else day
+            yield Row(**{c: row[c] for c in self.keep}, previous_day=previous)
+        self.days.update((newest, earlier))
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.days.update((initialState["day"], None))
 
-def day_changes(
-    df: DataFrame, key: str | Sequence[str], ts: str, keep: Sequence[str],
-    ttl_millis: int | None = DAY_MILLIS, lateness: str = "1 day",
-) -> DataFrame:
-    """Rows whose day differs from the last day seen for their key, with that day as ``previous_day``.
+    def close(self) -> None:
+        pass
 
-    Output: the ``keep`` columns, ``day`` and ``previous_day`` (null for a key never seen).  A key is
-    forgotten ``ttl_millis`` of event time after its last row, or never when that is None; rows are sent at
-    once, ``lateness`` only decides how late a row may come while keys are being forgotten.
-    """
-    keys = as_list(key)
-    keep = list(keep)
-    expires = ttl_millis is not None
-    clocked = _with_clock(df, ts).select(*dict.fromkeys([*keys, *keep, ts]), "_ms", "_day")
-    if expires:
-        clocked = clocked.withWatermark(ts, lateness)
-    output = _schema(clocked, keep, "day", "previous_day")
 
-    def step(_key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        # One row per day survives from each Arrow batch, so a hot key stays small.
-        newest = 0
-        firsts = []
-        for batch in batches:
-            newest = max(newest, int(batch["_ms"].max()))
-            firsts.append(batch.sort_values("_ms", kind="stable").drop_duplicates("_day"))
-        rows = pd.concat(firsts).sort_values("_ms", kind="stable").drop_duplicates("_day")
-        previous = rows["_day"].shift(1).astype(object)
-        previous.iloc[0] = state.get[0] if state.exists else None
-        changed = rows["_day"] != previous
-        out = rows.loc[changed, keep].copy()
-        out["day"] = rows.loc[changed, "_day"]
-        out["previous_day"] = previous[changed]
-        state.update((rows["_day"].iloc[-1],))
-        if expires:
-            state.setTimeoutTimestamp(newest + ttl_millis)
-        yield out
-
-    timeout = GroupStateTimeout.EventTimeTimeout if expires else GroupStateTimeout.NoTimeout
-    return clocked.groupBy(*keys).applyInPandasWithState(step, output, _ONE_TEXT, "append", timeout)
+def with_previous_day(firsts: DataFrame, key: str, keep: Sequence[str], history: DataFrame | None = None) -> DataFrame:
+    """Add the previous active day of each key to stored `day_firsts`: null for a key never seen, which is never forgotten.
+
+    ``firsts`` has at most one row per key and day, so a call for a key sees a handful of rows.  ``history``, ``key``
+    and ``day``, is what a new query starts from: the newest day of each key in earlier results.  It is read
+    when a checkpoint is made, and not when a query goes on from one.
+    """
+    output = StructType([*firsts.select(*keep).schema.fields, StructField("previous_day", DateType())])
+    start = None
+    if history is not None:
+        start = history.groupBy(key).agg(F.max("day").alias("day")).groupBy(key)
+    return firsts.select(*dict.fromkeys([key, *keep, "day"])).groupBy(key).transformWithState(
+        _PreviousDay(keep), output, "append", "None", start)
 
 
 def repair_new_visitor(df: DataFrame, key: str, is_new: str, ts: str, keep: Sequence[str]) -> DataFrame:
     """Every row with ``repaired_is_new``; the first day of a key is stored once and never expires."""
     keep = list(keep)
-    clocked = _with_clock(df, ts).withColumn(
+    clocked = df.withColumn("_ms", F.unix_millis(F.col(ts))).withColumn(
+        "_day", F.col(ts).cast("date").cast("string")
+    ).withColumn(
         "_first", F.when(F.col(is_new) == "1", F.col("_day"))
         .otherwise(F.date_sub(F.col(ts).cast("date"), 1).cast("string")),
     ).select(*dict.fromkeys([key, is_new, *keep]), "_ms", "_day", "_first")
-    output = _schema(clocked, keep, "repaired_is_new")
+    output = StructType([*clocked.select(*keep).schema.fields, StructField("repaired_is_new", StringType())])
 
     def step(_key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.exists:
@@ -120,6 +131,67 @@ def _rows_of_text(texts: DataFrame, df: DataFrame, columns: Sequence[str]) -> Da
     return texts.select(F.from_json("value", schema).alias("row")).select("row.*")
 
 
+class _Jumps(StatefulProcessor):
+    """State: rows the watermark has not passed, in order of arrival, and the entry whose successor is not known yet.
+
+    One timer a key, at the earliest time at which something can be judged.  A batch appends to the list; the
+    list is read and written anew only when the timer fires, and then holds what lies behind the watermark, so a row is
+    moved as often as batches fit into the watermark delay.
+    """
+
+    def __init__(self, span: int):
+        self.span = span
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "ms long, entry boolean, row string")
+        self.pending = handle.getValueState("pending", "wake long, ms long, row string")
+
+    def _wake(self, old: int | None, new: int | None, ms: int | None, row: str | None) -> None:
+        if old is not None and old != new:
+            self.handle.deleteTimer(old)
+        if new is None:
+            self.pending.clear()
+        else:
+            if old != new:
+                self.handle.registerTimer(new)
+            self.pending.update((new, ms, row))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        arrived = [(r["_ms"], r["_entry"], r["_row"]) for r in rows]
+        self.waiting.appendList(arrived)
+        wake, ms, row = self.pending.get() or (None, None, None)
+        first = min(a[0] for a in arrived)
+        if wake is None or first < wake:
+            self._wake(wake, first, ms, row)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        _, ms, row = self.pending.get()
+        due, later = [], []
+        for item in self.waiting.get():
+            (due if item[0] <= watermark else later).append(item)
+        due.sort(key=lambda item: item[0])
+        for at, entry, text in due:
+            if ms is not None and (entry or at - ms >= self.span):
+                yield Row(value=row)
+            ms, row = (at, text) if entry else (None, None)
+        if ms is not None and ms + self.span <= watermark:
+            yield Row(value=row)
+            ms, row = None, None
+        if due and later:
+            self.waiting.put(later)
+        elif due:
+            self.waiting.clear()
+        ahead = [item[0] for item in later] + ([] if ms is None else [ms + self.span])
+        # The timer that fired is gone already.
+        self._wake(None, min(ahead) if ahead else None, ms, row)
+
+    def close(self) -> None:
+        pass
+
+
 def user_jumps(
     df: DataFrame, key: str, ts: str, entry: Column, keep: Sequence[str],
     span_seconds: int = BOUNCE_SECONDS,
@@ -131,83 +203,57 @@ def user_jumps(
     when the watermark reaches the end of its span.
     """
     keep = list(keep)
-    span = span_seconds * 1000
-    clocked = df.withColumn("_ms", F.unix_millis(F.col(ts))).withColumn(
-        "_entry", F.coalesce(entry, F.lit(False))
-    ).withColumn("_row", _row_text(keep)).select(key, ts, "_ms", "_entry", "_row")
-
-    def step(_key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        waiting = json.loads(state.get[0]) if state.exists else []
-        if not state.hasTimedOut:
-            for batch in batches:
-                waiting.extend(
-                    [int(ms), bool(is_entry), row if is_entry else None]
-                    for ms, is_entry, row in zip(batch["_ms"], batch["_entry"], batch["_row"])
-                )
-            waiting.sort(key=lambda w: w[0])
-        watermark = state.getCurrentWatermarkMs()
-        jumps = []
-        done = 0
-        wake = None
-        while done < len(waiting):
-            ms, is_entry, row = waiting[done]
-            following = waiting[done + 1] if done + 1 < len(waiting) else None
-            if following is not None and following[0] <= watermark:
-                bounced = following[1] or following[0] - ms >= span
-            elif ms + span <= watermark:
-                bounced = True
-            else:
-                wake = min(ms + span, following[0]) if following else ms + span
-                break
-            if is_entry and bounced:
-                jumps.append(row)
-            done += 1
-        if done < len(waiting):
-            state.update((json.dumps(waiting[done:]),))
-            state.setTimeoutTimestamp(wake)
-        elif state.exists:
-            state.remove()
-        if jumps:
-            yield pd.DataFrame({"value": jumps})
-
-    judged = clocked.groupBy(key).applyInPandasWithState(
-        step, _ONE_TEXT, _ONE_TEXT, "append", GroupStateTimeout.EventTimeTimeout
-    )
+    is_entry = F.coalesce(entry, F.lit(False))
+    pages = df.select(
+        key, ts, F.unix_millis(F.col(ts)).alias("_ms"), is_entry.alias("_entry"), F.when(is_entry, _row_text(keep)).alias("_row"))
+    judged = pages.groupBy(key).transformWithState(_Jumps(span_seconds * 1000), _ONE_TEXT, "append", "EventTime")
     return _rows_of_text(judged, df, keep)
 
 
+class _Latest(StatefulProcessor):
+    """State: the newest version of a key and its row; a timer sends it."""
+
+    def __init__(self, hold: int):
+        self.hold = hold
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.held = handle.getValueState("held", "version long, row string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        before = self.held.get()
+        best = before
+        for r in rows:
+            if best is None or r["_version"] >= best[0]:
+                best = (r["_version"], r["_row"])
+        if best != before:
+            self.held.update(best)
+        if before is None:
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.hold)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        held = self.held.get()
+        self.held.clear()
+        yield Row(value=held[1])
+
+    def close(self) -> None:
+        pass
+
+
 def keep_latest(
     df: DataFrame, key: str, version: str, keep: Sequence[str], hold_millis: int = HOLD_MILLIS
 ) -> DataFrame:
     """Newest version of each key, sent once, ``hold_millis`` after the key's first row.
 
     Equal versions are decided by later arrival.  After sending, the key is forgotten, so a row that comes
-    later is sent again.  ``version`` is a timestamp; null is older than any.  The hold is measured in processing time, so the
-    query must run on a repeating trigger; one that takes what is there and stops would never end.
+    later is sent again.  ``version`` is a timestamp; null is older than any.  The hold is measured in processing time:
+    a query that stops earlier keeps its rows and timers, and sends them after it is started again.  `jobs.drain` ends
+    a query when everything held has been sent.
     """
     keep = list(keep)
     packed = df.select(
         key, F.coalesce(F.unix_micros(F.col(version)), F.lit(-2**63)).alias("_version"), _row_text(keep).alias("_row")
     )
-
-    def step(_key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = json.loads(state.get[0]) if state.exists else None
-        if state.hasTimedOut:
-            state.remove()
-            yield pd.DataFrame({"value": [held["row"]]})
-            return
-        now = state.getCurrentProcessingTimeMs()
-        if held is None:
-            held = {"version": None, "row": None, "due": now + hold_millis}
-        for batch in batches:
-            newest = batch["_version"].max()
-            if held["version"] is None or newest >= held["version"]:
-                held["version"] = int(newest)
-                held["row"] = batch.loc[batch["_version"] == newest, "_row"].iloc[-1]
-        state.update((json.dumps(held),))
-        state.setTimeoutDuration(max(1, held["due"] - now))
-
-    sent = packed.groupBy(key).applyInPandasWithState(
-        step, _ONE_TEXT, _ONE_TEXT, "append", GroupStateTimeout.ProcessingTimeTimeout
-    )
+    sent = packed.groupBy(key).transformWithState(_Latest(hold_millis), _ONE_TEXT, "append", "ProcessingTime")
     return _rows_of_text(sent, df, keep)

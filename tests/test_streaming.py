@@ -49,10 +49,10 @@ def put_files(folder, chunks):
     return str(folder)
 
 
-def run(df, name, root, write=None):
+def run(df, name, root, write=None, mode="append"):
     """Run a stream over what is there and return the folder it wrote."""
     out = str(root / f"out-{name}")
-    query = jobs.start(df, name, write or jobs.table_writer(out))
+    query = jobs.start(df, name, write or jobs.table_writer(out), mode=mode)
     query.awaitTermination()
     assert query.exception() is None
     return out
@@ -108,11 +108,11 @@ def page_batch(spark, folder):
 
 def test_unique_visitors_and_restart(spark, root, page_folder):
     stream = jobs.unique_visitors(page_stream(spark, page_folder), KEEP)
-    out = run(stream, "uv", root)
+    out = run(stream, "uv", root, mode="update")
     expected = rows(visits.unique_visitors(page_batch(spark, page_folder)), ["mid", "ms"])
     assert rows(spark.read.parquet(out), ["mid", "ms"]) == expected
     # a restart from the checkpoint neither loses nor repeats rows
-    run(jobs.unique_visitors(page_stream(spark, page_folder), KEEP), "uv", root)
+    run(jobs.unique_visitors(page_stream(spark, page_folder), KEEP), "uv", root, mode="update")
     assert rows(spark.read.parquet(out), ["mid", "ms"]) == expected
 
 
@@ -137,15 +137,98 @@ def test_user_jumps_out_of_order_within_the_delay(spark, root):
     assert rows(spark.read.parquet(out), ["mid", "ms"]) == Counter([("b", NOON + 2000)])
 
 
+def day_stream(spark, path):
+    """Stored first rows of a day as a stream."""
+    return stored_rows(spark, f"{path}/batch=*", jobs.USER_DAYS, stream=True)
+
+
 def test_home_detail_and_login(spark, root, page_folder):
-    out = run(jobs.home_detail_visitors(page_stream(spark, page_folder)), "hd", root)
+    out = run(jobs.home_detail_visitors(page_stream(spark, page_folder)), "hd", root, mode="update")
     expected = visits.home_detail_visitors(page_batch(spark, page_folder))
     assert rows(spark.read.parquet(out), ["ts", "home", "detail"]) == rows(expected)
-    out = run(jobs.login_visitors(page_stream(spark, page_folder)), "login", root)
+    firsts = run(jobs.daily_logins(page_stream(spark, page_folder)), "logins", root, mode="update")
+    out = run(jobs.login_visitors(day_stream(spark, firsts)), "login", root)
     expected = visits.login_visitors(page_batch(spark, page_folder))
     assert rows(spark.read.parquet(out), ["ts", "unique_user", "back"]) == rows(expected)
 
 
+def test_daily_state_is_in_the_jvm_and_bounded(spark, root):
+    """A device that is there every day in two files a day: one row a day comes out, two days stay in state."""
+    days = [[json.dumps({"mid": m, "ms": NOON + d * DAY + h}) for m in "abc"] for d in range(6) for h in (0, 1000)]
+    folder = put_files(root / "days", days)
+    plans = []
+
+    def write(df, batch_id):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        df.write.mode("append").parquet(str(root / "days-out"))
+
+    query = jobs.start(jobs.unique_visitors(page_stream(spark, folder), ["mid", "ms"]), "days", write, mode="update")
+    query.awaitTermination()
+    assert rows(spark.read.parquet(str(root / "days-out"))) == Counter(
+        (m, NOON + d * DAY) for m in "abc" for d in range(6))
+    assert plans and not any("Python" in p or "Pandas" in p or "Arrow" in p for p in plans)
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= 9
+
+
+def test_earliest_row_of_a_batch_wins_whatever_the_order(spark, root):
+    folder = put_files(root / "mixed", [[json.dumps({"mid": "a", "ms": NOON + s}) for s in (5000, 3000, 9000)],
+                                        [json.dumps({"mid": "a", "ms": NOON + 1})]])
+    out = run(jobs.unique_visitors(page_stream(spark, folder), ["mid", "ms"]), "mixed", root, mode="update")
+    assert rows(spark.read.parquet(out), ["mid", "ms"]) == {("a", NOON + 3000): 1}
+
+
+def test_a_new_query_goes_on_from_stored_history(spark, root):
+    """The first half is history from the batch form, the second a stream with a checkpoint of its own."""
+    records = [{"user": u, "ms": NOON + d * DAY} for u, d in [
+        ("a", 0), ("b", 0), ("a", 1), ("b", 9), ("a", 12), ("c", 12), ("c", 13), ("b", 13)]]
+    shape = "user string, ms long"
+
+    def firsts(df):
+        return df.select("user", F.timestamp_millis("ms").alias("ts")).withColumn("day", F.col("ts").cast("date"))
+
+    def frame(part):
+        return firsts(spark.createDataFrame([(r["user"], r["ms"]) for r in part], shape))
+
+    folder = put_files(root / "second-half", [[json.dumps(r)] for r in records[3:]])
+    lines = file_lines(spark, folder, True, 2).select(F.from_json("value", shape).alias("r")).select("r.*")
+    out = run(jobs.paying_users(firsts(lines), history=frame(records[:3])), "go-on", root)
+    whole = rows(visits.paying_users(frame(records), "user", "ts"))
+    assert rows(spark.read.parquet(out), ["ts", "unique_user", "new_user"]) == whole - rows(
+        visits.paying_users(frame(records[:3]), "user", "ts"))
+    assert sum(rows(spark.read.parquet(out).filter("new_user = 1")).values()) == 1
+    # Started again, it goes on from its own state and not from the history.
+    (root / "second-half" / "9999.txt").write_text(json.dumps({"user": "c", "ms": NOON + 14 * DAY}) + "\n", encoding="utf-8")
+    run(jobs.paying_users(firsts(lines), history=frame(records[:3])), "go-on", root)
+    got = rows(spark.read.parquet(out), ["ts", "unique_user", "new_user"])
+    assert sum(got.values()) == 6 and sum(n for (_, _, new), n in got.items() if new) == 1
+
+
+def test_a_day_that_comes_late_is_no_new_user(spark, root):
+    rows_ = [("a", 5), ("a", 4), ("a", 6), ("a", 20)]
+    folder = put_files(root / "late-days", [[json.dumps({"user": u, "ms": NOON + d * DAY})] for u, d in rows_])
+    lines = file_lines(spark, folder, True, 1).select(F.from_json("value", "user string, ms long").alias("r")).select("r.*")
+    firsts = lines.select("user", F.timestamp_millis("ms").alias("ts")).withColumn("day", F.col("ts").cast("date"))
+    out = run(jobs.login_visitors(firsts), "late-days", root)
+    assert sorted(r["back"] for r in spark.read.parquet(out).collect()) == [0, 0, 0, 1]
+
+
+def test_a_device_with_very_many_pages(spark, root):
+    """One device sends most rows in one batch: state and time grow with the rows, not with their square."""
+    def pages(n, start):
+        return [json.dumps({"mid": "hot", "ms": NOON + start + i * 5, **({} if i % 3 == 0 else {"last_page_id": "x"})})
+                for i in range(n)]
+
+    seconds = {}
+    for n in (20_000, 80_000):
+        folder = put_files(root / f"many{n}", [pages(n, 0), pages(1, n * 5 + DAY), pages(1, n * 5 + 2 * DAY)])
+        begun = time.perf_counter()
+        out = run(jobs.user_jumps(page_stream(spark, folder), ["mid", "ms"]), f"many{n}", root)
+        seconds[n] = time.perf_counter() - begun
+        # Of each three pages the entry is followed by a page from inside; only entries a day apart are bounces.
+        assert rows(spark.read.parquet(out), ["mid", "ms"]) <= Counter({("hot", NOON + (n - 1) * 5): 1, ("hot", NOON + n * 5 + DAY): 1})
+    assert seconds[80_000] < 4 * seconds[20_000] + 10
+
+
 def test_new_visitor_state(spark, root, page_folder):
     stream = keyed.repair_new_visitor(page_stream(spark, page_folder), "mid", "is_new", "ts", ["mid", "ms"])
     out = run(stream, "w1", root)
@@ -157,18 +240,18 @@ def test_new_visitor_state(spark, root, page_folder):
 
 
 def test_users_per_day(spark, root, page_folder):
-    out = run(jobs.paying_users(page_stream(spark, page_folder), "mid", "ts"), "pay-users", root)
+    firsts = run(jobs.daily_users(page_stream(spark, page_folder), "mid", "ts"), "user-days", root, mode="update")
+    expected = visits.daily_users(page_batch(spark, page_folder), "mid", "ts")
+    assert rows(spark.read.parquet(firsts), ["user", "ts"]) == rows(expected, ["mid", "ts"])
+    out = run(jobs.paying_users(day_stream(spark, firsts)), "pay-users", root)
     expected = visits.paying_users(page_batch(spark, page_folder), "mid", "ts")
     assert rows(spark.read.parquet(out), ["ts", "unique_user", "new_user"]) == rows(expected)
-    out = run(jobs.daily_users(page_stream(spark, page_folder), "mid", "ts"), "cart-users", root)
-    expected = visits.daily_users(page_batch(spark, page_folder), "mid", "ts")
-    assert rows(spark.read.parquet(out), ["mid", "ts"]) == rows(expected)
 
 
 def test_traffic_rollup_over_stored_visits(spark, root, page_folder):
     """Pages, visitors and bounces are stored by their own jobs and rolled up by another."""
     pages_out = run(page_stream(spark, page_folder), "tr-pages", root)
-    uv_out = run(jobs.unique_visitors(page_stream(spark, page_folder), KEEP), "tr-uv", root)
+    uv_out = run(jobs.unique_visitors(page_stream(spark, page_folder), KEEP), "tr-uv", root, mode="update")
     uj_out = run(jobs.user_jumps(page_stream(spark, page_folder), KEEP), "tr-uj", root)
 
     def stored(path):
@@ -253,7 +336,8 @@ def test_order_window_from_two_streams(spark, root, detail_folder):
         schema = spark.read.parquet(path).drop("batch").schema
         return stored_rows(spark, f"{path}/batch=*", schema, stream=True)
 
-    users = run(jobs.paying_users(stored(deduplicated), "user_id", "ts"), "ow-users", root)
+    days = run(jobs.daily_users(stored(deduplicated), "user_id", "ts"), "ow-days", root, mode="update")
+    users = run(jobs.paying_users(day_stream(spark, days)), "ow-users", root)
     rows_ = jobs.order_rows(stored(deduplicated), stored(users))
     out = run(jobs.order_window(jobs.watermarked(rows_)), "ow", root)
     batch = keep_first(detail_rows(spark, detail_folder, False), "id", ["ms"])
@@ -302,8 +386,8 @@ def test_cart_jobs(spark, root, dic):
     def carts(stream):
         return facts.cart_add(change_rows(spark, folder, stream), dic, "shop")
 
-    users = run(jobs.cart_users(carts(True)), "cart-u", root)
-    stored = stored_rows(spark, f"{users}/batch=*", "user_id STRING, ts TIMESTAMP", stream=True)
+    users = run(jobs.cart_users(carts(True)), "cart-u", root, mode="update")
+    stored = stored_rows(spark, f"{users}/batch=*", "user STRING, ts TIMESTAMP", stream=True)
     out = run(windows.cart_window(jobs.watermarked(stored)), "cart-w", root)
     timed = plan_windows.cart_event_time(carts(False))
     expected = windows.cart_window(visits.daily_users(timed, "user_id", "ts")).filter("stt < '2022-05'")
@@ -322,7 +406,8 @@ def test_payment_and_register_jobs(spark, root):
         return file_lines(spark, folder, stream, 1).select(
             F.from_json("value", "user_id STRING, callback_time STRING").alias("r")).select("r.*")
 
-    users = run(jobs.payment_users(paid(True)), "paid-u", root)
+    days = run(jobs.payment_users(paid(True)), "paid-d", root, mode="update")
+    users = run(jobs.paying_users(day_stream(spark, days)), "paid-u", root)
     stored = stored_rows(
         spark, f"{users}/batch=*", "ts TIMESTAMP, unique_user BIGINT, new_user BIGINT", stream=True)
     out = run(windows.payment_window(jobs.watermarked(stored)), "paid-w", root)
@@ -349,28 +434,43 @@ def test_late_rows_are_dropped(spark, root):
     assert got == [("2022-04-01 12:00:00", 1), ("2022-04-01 12:01:00", 2)]
 
 
-def test_keep_latest_holds_and_sends_once(spark, root):
-    def line(v, version):
-        return json.dumps({"id": "1", "v": v, "version": version})
-
-    folder = put_files(root / "versions", [[line("a", 1000), line("c", 3000)], [line("b", 2000)]])
-    df = file_lines(spark, folder, True, 1).select(
+def versions(spark, folder):
+    return file_lines(spark, folder, True, 1).select(
         F.from_json("value", "id STRING, v STRING, version BIGINT").alias("r")).select("r.*").withColumn(
         "row_op_ts", F.timestamp_millis("version"))
-    # the hold outlasts both files, so the older version that comes later cannot win
-    latest = keyed.keep_latest(df, "id", "row_op_ts", ["id", "v"], hold_millis=8000)
+
+
+def version_line(v, version, key="1"):
+    return json.dumps({"id": key, "v": v, **({} if version is None else {"version": version})})
+
+
+def test_keep_latest_holds_and_sends_once(spark, root):
+    folder = put_files(root / "versions", [
+        [version_line("a", 1000), version_line("c", 3000), version_line("n", None, "2")], [version_line("b", 2000)],
+        [version_line("d", 3000), version_line("m", None, "2")]])
+    # the hold outlasts the files, so the older version that comes later cannot win; of equal ones the later arrival does
+    latest = keyed.keep_latest(versions(spark, folder), "id", "row_op_ts", ["id", "v"], hold_millis=25_000)
     out = str(root / "out-latest")
-    query = jobs.start(latest, "latest", jobs.table_writer(out), every="500 milliseconds")
-    deadline = time.time() + 60
-    got = []
-    while time.time() < deadline and not got:
-        time.sleep(1)
-        try:
-            got = [tuple(r) for r in spark.read.parquet(out).select("id", "v").collect()]
-        except Exception:  # nothing written yet
-            got = []
+    jobs.drain(jobs.start(latest, "latest", jobs.table_writer(out), every="500 milliseconds"), seconds=120)
+    assert rows(spark.read.parquet(out), ["id", "v"]) == {("1", "d"): 1, ("2", "m"): 1}
+
+
+def test_held_rows_outlive_a_stop(spark, root):
+    """One batch, then the query is gone; what it held is sent after the next start, newer versions included."""
+    folder = put_files(root / "stopped", [[version_line("a", 1000)]])
+    out = str(root / "out-stopped")
+
+    def start():
+        latest = keyed.keep_latest(versions(spark, folder), "id", "row_op_ts", ["id", "v"], hold_millis=15_000)
+        return jobs.start(latest, "stopped", jobs.table_writer(out), every="500 milliseconds")
+
+    query = start()
+    query.processAllAvailable()
     query.stop()
-    assert got == [("1", "c")]
+    assert not rows(spark.read.schema("id string, v string").parquet(out))
+    (root / "stopped" / "0001.txt").write_text(version_line("b", 2000) + "\n", encoding="utf-8")
+    jobs.drain(start(), seconds=120)
+    assert rows(spark.read.parquet(out), ["id", "v"]) == {("1", "b"): 1}
 
 
 def change(table, kind, data, second, old=None):
