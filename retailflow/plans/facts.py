@@ -158,7 +158,7 @@ def orders_moved_to(
 
 
 def refund_requests(
-    changes: DataFrame, dictionary: DataFrame, database: str | None = None, keep: Keep = ()
+    changes: DataFrame, dictionary: DataFrame | None, database: str | None = None, keep: Keep = ()
 ) -> DataFrame:
     """Refund requests with type and reason named: the dictionary is joined once for each code."""
     requests = of_table(changes, "order_refund_info", [INSERT], database).select(
@@ -185,7 +185,7 @@ def order_refund(changes: DataFrame, dictionary: DataFrame, database: str | None
 
 
 def refund_payments(
-    changes: DataFrame, dictionary: DataFrame, database: str | None = None, keep: Keep = ()
+    changes: DataFrame, dictionary: DataFrame | None, database: str | None = None, keep: Keep = ()
 ) -> DataFrame:
     rows = of_table(changes, "refund_payment", database=database).select(
         *table_columns("refund_payment"), "ts", *keep

@@ -1,8 +1,12 @@
 """Stream-stream joins of change rows, bounded in event time.
 
 Both sides carry a watermark and the join condition bounds the distance of their event times, so Spark can
-drop join state.  A left outer row without a partner is sent when the watermark rules a partner out: only
-final rows leave the join.
+drop join state.  A left outer row without a partner is sent when the watermark rules a partner out; `changelog_left_join`
+sends it at once and takes it back when a partner comes.  Partners further apart than the bound are found by
+`retailflow.streaming.late`, which completes what these joins began.
+
+The dictionary may be None: names then stay null, and `NAMES` says what `lookup.name_codes` fills in after the join, in the
+batch writer (`jobs.dictionary_writer`), with the dictionary as it stands then.
 """
 
 from __future__ import annotations
@@ -20,6 +24,18 @@ PAYMENT_BOUND = "905 seconds"
 
 EVENT_TIME = "event_time"
 
+# Code and name columns of the facts.
+NAMES = {
+    "order_wide": {"source_type_id": "source_type_name"},
+    "pay_detail": {"source_type_id": "source_type_name", "payment_type_code": "payment_type_name"},
+    "order_refund": {
+        "refund_type_code": "refund_type_name", "refund_reason_type_code": "refund_reason_type_name"},
+    "refund_paid": {"payment_type_code": "payment_type_name"},
+}
+
+# Columns of `changelog_left_join`: a greater version wins, and a deleted row is gone.
+VERSION, DELETED = "_version", "_deleted"
+
 
 def with_event_time(changes: DataFrame, seconds: str = "ts", delay: str = WATERMARK) -> DataFrame:
     """Event time of change rows from their epoch seconds, with a watermark."""
@@ -45,8 +61,29 @@ def bounded_join(
     return joined.drop("_right_time", *[f"_right_{key}" for key in keys])
 
 
+def changelog_left_join(
+    left: DataFrame, right: DataFrame, keys: list[str], bound: str, partner: str
+) -> DataFrame:
+    """Left outer join as changes: every left row at once without a partner, taken back when a partner comes.
+
+    ``partner`` is a column of ``right`` that is never null and tells partners of one left row apart.  Stored in a versioned
+    `KeyedTable` with deletes, keyed by what identifies a left row and ``partner``, the changes read as the left outer
+    join.  Output: columns of both sides, `VERSION` and `DELETED`.
+    """
+    added = [f for f in right.schema.fields if f.name not in {*keys, EVENT_TIME}]
+    alone = [F.lit(None).cast(f.dataType).alias(f.name) for f in added]
+
+    def change(names: list, version: int, gone: bool):
+        return F.struct(*left.columns, *names, F.lit(version).alias(VERSION), F.lit(gone).alias(DELETED))
+
+    pairs = bounded_join(left, right, keys, bound)
+    found = pairs.select(F.explode(F.array(
+        change([F.col(f.name) for f in added], 1, False), change(alone, 1, True))).alias("_change"))
+    return left.select(change(alone, 0, False).alias("_change")).unionByName(found).select("_change.*")
+
+
 def order_wide(
-    changes: DataFrame, dictionary: DataFrame, database: str | None = None, bound: str = ORDER_BOUND
+    changes: DataFrame, dictionary: DataFrame | None, database: str | None = None, bound: str = ORDER_BOUND
 ) -> DataFrame:
     """Streaming form of `facts.order_wide`; ``changes`` comes from `with_event_time`."""
     keep = [EVENT_TIME]
@@ -60,7 +97,7 @@ def order_wide(
 
 
 def pay_detail(
-    changes: DataFrame, details: DataFrame, dictionary: DataFrame, database: str | None = None,
+    changes: DataFrame, details: DataFrame, dictionary: DataFrame | None, database: str | None = None,
     bound: str = PAYMENT_BOUND,
 ) -> DataFrame:
     """Streaming form of `facts.pay_detail`; ``details`` carries an event time with a watermark."""
@@ -73,7 +110,7 @@ def pay_detail(
 
 
 def order_refund(
-    changes: DataFrame, dictionary: DataFrame, database: str | None = None, bound: str = ORDER_BOUND
+    changes: DataFrame, dictionary: DataFrame | None, database: str | None = None, bound: str = ORDER_BOUND
 ) -> DataFrame:
     """Streaming form of `facts.order_refund`."""
     keep = [EVENT_TIME]
@@ -85,7 +122,7 @@ def order_refund(
 
 
 def refund_paid(
-    changes: DataFrame, dictionary: DataFrame, database: str | None = None, bound: str = ORDER_BOUND
+    changes: DataFrame, dictionary: DataFrame | None, database: str | None = None, bound: str = ORDER_BOUND
 ) -> DataFrame:
     """Streaming form of `facts.refund_paid`."""
     keep = [EVENT_TIME]

@@ -21,7 +21,8 @@ from retailflow.session import scratch_path
 from retailflow.sinks.shape import json_lines, positional
 from retailflow.sinks.tables import keyed_table
 from retailflow.sources.records import changelog_rows, json_table
-from retailflow.streaming import jobs
+from retailflow.streaming import jobs, joins
+from retailflow.streaming.late import ChangeStore, CompletedFact
 from retailflow.tables import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +86,41 @@ def snk_upsert_latest(spark, folder):
     return stored.read(spark).drop("later")
 
 
+@query
+def snk_upsert_delete(spark, folder):
+    """Versioned keyed table of orders whose changes come in the wrong order: updates, inserts, then deletions of those
+    with a refund; folded twice, with and without the marks of deletion."""
+    changes = inputs.order_changes(spark, folder).select(
+        *changelog.fields(["id", "order_status", "user_id", "operate_time"]), "ts",
+        F.when(F.col("type") == "update", 2).otherwise(1).alias("version"), F.lit(False).alias("gone"),
+    )
+    stored = keyed_table(scratch_path(spark, "orders"), "id", "version", versioned=True, deleted="gone")
+    refunds = changes.filter("version = 2 and order_status = '1005'")
+    stored.merge(refunds.withColumns({"version": F.lit(3), "gone": F.lit(True)}), 0)
+    stored.merge(changes.filter("version = 2"), 1)
+    stored.compact(spark, keep_deletes=True)
+    stored.merge(changes.filter("version = 1"), 2)
+    stored.compact(spark)
+    return stored.read(spark).drop("version")
+
+
+@query
+def retract_left_join(spark, folder):
+    """Order details and their activities as changes of a left outer join, stored and read back."""
+    changes = joins.with_event_time(
+        inputs.detail_changes(spark, folder).unionByName(inputs.activity_changes(spark, folder)).withColumn("ts", F.lit("0")))
+    details = facts.order_details(changes, inputs.DATABASE, [joins.EVENT_TIME]).select("id", "order_id", joins.EVENT_TIME)
+    rows = joins.changelog_left_join(
+        details, facts.order_activities(changes, inputs.DATABASE, [joins.EVENT_TIME]), ["id"], joins.ORDER_BOUND,
+        "order_detail_activity_id")
+    stored = keyed_table(
+        scratch_path(spark, "left-join"), ["id", "order_detail_activity_id"], joins.VERSION, versioned=True, deleted=joins.DELETED)
+    # The order of the batches does not matter: what was taken back stays so.
+    stored.merge(rows.filter(F.col(joins.VERSION) == 1), 0)
+    stored.merge(rows.filter(F.col(joins.VERSION) == 0), 1)
+    return stored.read(spark).select("id", "order_id", "order_detail_activity_id", "activity_id")
+
+
 @query
 def snk_positional_projection(spark, folder):
     """Positional columns of a window result, hidden accumulator and clock left out."""
@@ -314,6 +350,24 @@ def order_wide(spark, folder):
     )
 
 
+@query
+def order_wide_completed(spark, folder):
+    """The wide order rows out of stored changes in two batches, completed after each: the updates of the orders come
+    with the second one, long after their details."""
+    changes = inputs.order_fact_changes(spark, folder)
+    dictionary = inputs.dictionary(spark)
+    store = ChangeStore(scratch_path(spark, "changes"))
+    fact = CompletedFact(
+        scratch_path(spark, "wide"), store, lambda rows: facts.order_wide(rows, dictionary, inputs.DATABASE),
+        ("order_info", "order_detail", "order_detail_activity", "order_detail_coupon"))
+    first = (F.col("table") == "order_detail") | ((F.col("table") == "order_info") & (F.col("type") == "insert"))
+    store.writer()(changes.filter(first), 0)
+    fact.complete(spark)
+    store.writer()(changes.filter(~first), 1)
+    fact.complete(spark)
+    return fact.read(spark).select(*schemas.ORDER_WIDE_TEXT)
+
+
 @query
 def order_detail(spark, folder):
     return facts.order_detail(facts.with_operation_time(_wide(spark, folder), at=F.col("create_time")))

@@ -233,6 +233,13 @@ ORACLE: dict[str, str] = {
         status as order_status, cast(o_custkey as varchar) as user_id,
         cast(operated as varchar) as operate_time, cast(o_orderdate as varchar) as ts
         from states where kind = 'update'""",
+    "snk_upsert_delete": f"""with {STATES} select cast(o_orderkey as varchar) as id,
+        status as order_status, cast(o_custkey as varchar) as user_id,
+        cast(operated as varchar) as operate_time, cast(o_orderdate as varchar) as ts
+        from states where kind = 'update' and status <> '1005'""",
+    "retract_left_join": f"""with {LATEST} select cast(id as varchar) as id, cast(l_orderkey as varchar) as order_id,
+        case when l_discount >= 0.05 then 'a' || id end as order_detail_activity_id,
+        case when l_discount >= 0.05 then cast(l_suppkey as varchar) end as activity_id from items""",
     "snk_positional_projection": f"""with {LATEST}, {DETAILS},
         totals as (select {bucket('1 day')}, province_id, count(distinct order_id) as n,
           cast(sum(price) as double) as amount from details group by all)
@@ -346,6 +353,7 @@ ORACLE: dict[str, str] = {
     "user_register": f"""with {EVENT_CHANGES} select id as user_id, strftime(second, '%Y-%m-%d') as date_id,
           cast(second as varchar) as create_time, ts_text as ts from changes where kind = 'insert'""",
     "order_wide": f"with {WIDE} select * from wide",
+    "order_wide_completed": f"with {WIDE} select * exclude (old_order_status) from wide",
     "order_detail": f"with {WIDE} select {_DETAIL_COLUMNS}, create_time as row_op_ts from wide where type = 'insert'",
     "order_cancel": f"""with {WIDE} select id, order_id, user_id, sku_id, sku_name, province_id, activity_id,
           activity_rule_id, coupon_id, operate_time as cancel_time, source_id, source_type_id,

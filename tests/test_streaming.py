@@ -21,7 +21,9 @@ from retailflow.plans import windows as plan_windows
 from retailflow.session import checkpoint_root
 from retailflow.sources.records import changelog_rows, file_lines
 from retailflow.sources.tables import dimension_config, stored_rows
+from retailflow.sinks.tables import keyed_table
 from retailflow.streaming import jobs, joins, keyed
+from retailflow.streaming.late import ChangeStore, CompletedFact
 
 NOON = 1648785600000  # 2022-04-01 12:00:00 +08:00
 DAY = 24 * 3600 * 1000
@@ -493,7 +495,7 @@ def change_folder(root):
                 "source_type": "2401" if d else "2402"}, t + 1))
             if d == 1:
                 lines.append(change("order_detail_activity", "insert",
-                                    {"id": "a" + key, "order_detail_id": key, "activity_id": "7"}, t + 1))
+                                    {"id": "a" + key, "order_id": f"o{o}", "order_detail_id": key, "activity_id": "7"}, t + 1))
         lines.append(change("order_info", "update", {"id": f"o{o}", "order_status": "1003", "operate_time": "t"},
                             t + 3, {"order_status": "1001"}))
         lines.append(change("payment_info", "update", {
@@ -560,6 +562,173 @@ def test_pay_and_refund_streams(spark, root, change_folder, dic):
     assert batch.count() == 6
 
 
+WIDE_TABLES = ("order_info", "order_detail", "order_detail_activity", "order_detail_coupon")
+WIDE_COLUMNS = ["id", "type", "order_status", "activity_id", "coupon_id", "source_type_name"]
+
+
+def copy_files(source, folder, names):
+    folder.mkdir(exist_ok=True)
+    for name in names:
+        (folder / name).write_text((Path(source) / name).read_text(encoding="utf-8"), encoding="utf-8")
+        stamp = 1_600_000_000 + int(name[:4])
+        os.utime(folder / name, (stamp, stamp))
+
+
+def test_partners_hours_apart_are_completed(spark, root, change_folder, dic):
+    """The stream gives what lies within five seconds; completions give the rest, and in the end the batch form."""
+    folder = root / "hours"
+    copy_files(change_folder, folder, ["0000.txt", "0001.txt"])
+    store = ChangeStore(str(root / "hours-changes"))
+    fact = CompletedFact(str(root / "hours-wide"), store, lambda rows_: facts.order_wide(rows_, dic, "shop"), WIDE_TABLES,
+                         ("order_detail_activity_id", "activity_id", "activity_rule_id", "order_detail_coupon_id", "coupon_id",
+                          "coupon_use_id"))
+
+    def turn():
+        run(change_rows(spark, str(folder), True), "hours-store", root, store.writer())
+        early = joins.order_wide(joins.with_event_time(change_rows(spark, str(folder), True)), dic, "shop").drop(joins.EVENT_TIME)
+        run(early, "hours-early", root, fact.writer())
+
+    def expected():
+        return rows(facts.order_wide(change_rows(spark, str(folder), False), dic, "shop"), WIDE_COLUMNS)
+
+    turn()
+    before = rows(fact.read(spark), WIDE_COLUMNS)
+    assert fact.complete(spark) and not fact.complete(spark)
+    assert rows(fact.read(spark), WIDE_COLUMNS) == expected() and sum(before.values()) < sum(expected().values())
+    copy_files(change_folder, folder, ["0002.txt", "0003.txt"])
+    # A cancel, an activity and a coupon six hours after their order, and an order before its details.
+    late = [change("order_info", "update", {"id": "o0", "order_status": "1003", "operate_time": "late"}, 6 * 3600, {"order_status": "1002"}),
+            change("order_detail_coupon", "insert", {"id": "c1", "order_id": "o0", "order_detail_id": "d01", "coupon_id": "9"}, 6 * 3600),
+            change("order_detail_activity", "insert", {"id": "b1", "order_id": "o1", "order_detail_id": "d12", "activity_id": "8"}, 6 * 3600)]
+    (folder / "0004.txt").write_text("\n".join(late) + "\n", encoding="utf-8")
+    turn()
+    assert sum(rows(fact.read(spark), WIDE_COLUMNS).values()) > sum(before.values())
+    assert fact.complete(spark)
+    assert rows(fact.read(spark), WIDE_COLUMNS) == expected()
+    fact.fold(spark)
+    assert rows(fact.read(spark), WIDE_COLUMNS) == expected()
+    got = {r["id"]: r["coupon_id"] for r in fact.read(spark).filter("order_id = 'o0' and operate_time = 'late'").collect()}
+    assert got == {"d01": "9", "d02": None}
+
+
+def test_paid_details_and_refunds_hours_apart(spark, root, dic):
+    """Payment, refund request and refund payment of one order, each hours after the one before."""
+    hour = 3600
+    lines = [change("order_info", "insert", {"id": "o", "order_status": "1001", "user_id": "u"}, 0),
+             change("order_detail", "insert", {"id": "d", "order_id": "o", "sku_id": "s", "source_type": "2401"}, 1),
+             change("payment_info", "update", {"order_id": "o", "payment_type": "1101", "payment_status": "1602"}, 2 * hour),
+             change("order_info", "update", {"id": "o", "order_status": "1005", "province_id": "3"}, 5 * hour, {"order_status": "1002"}),
+             change("order_refund_info", "insert", {"id": "r", "order_id": "o", "sku_id": "s", "refund_type": "1501",
+                                                    "refund_reason_type": "1301", "refund_num": "1"}, 6 * hour),
+             change("refund_payment", "insert", {"id": "p", "order_id": "o", "sku_id": "s", "payment_type": "1101"}, 9 * hour),
+             change("order_info", "update", {"id": "o", "order_status": "1006", "user_id": "u"}, 12 * hour, {"order_status": "1005"})]
+    folder = put_files(root / "paid-late", [[line] for line in lines])
+    store = ChangeStore(str(root / "paid-late-changes"))
+
+    def pay(rows_):
+        return facts.pay_detail(rows_, facts.order_detail(facts.order_wide(rows_, dic)), dic)
+
+    built = {"pay": (pay, (*WIDE_TABLES, "payment_info")),
+             "refund": (lambda rows_: facts.order_refund(rows_, dic), ("order_info", "order_refund_info")),
+             "paid": (lambda rows_: facts.refund_paid(rows_, dic), ("order_info", "order_refund_info", "refund_payment"))}
+    completed = {name: CompletedFact(str(root / f"paid-late-{name}"), store, build, tables) for name, (build, tables) in built.items()}
+
+    def write(changes, batch_id):
+        store.writer()(changes, batch_id)
+        for fact in completed.values():
+            fact.complete(spark)
+
+    run(change_rows(spark, folder, True), "paid-late", root, write)
+    for name, (build, _) in built.items():
+        whole = build(change_rows(spark, folder, False))
+        assert rows(completed[name].read(spark)) == rows(whole) and whole.count() == 1
+
+
+def test_left_join_is_taken_back_when_the_partner_comes(spark, root):
+    """Details at once without activity; the row without is taken back when one or two activities come, and a repeated
+    batch or a fold changes nothing."""
+    def detail(i, second):
+        return change("order_detail", "insert", {"id": i, "order_id": "o"}, second)
+
+    def activity(i, of, second):
+        return change("order_detail_activity", "insert", {"id": i, "order_detail_id": of, "activity_id": "x" + i}, second)
+
+    folder = put_files(root / "taken-back", [
+        [detail("1", 0), detail("2", 0), detail("3", 0)], [activity("a", "1", 1)], [activity("b", "1", 2), activity("c", "2", 2)],
+        [activity("e", "4", 3), detail("4", 3)]])
+
+    def sides(stream):
+        changes = joins.with_event_time(change_rows(spark, folder, stream))
+        return (facts.order_details(changes, "shop", [joins.EVENT_TIME]).select("id", joins.EVENT_TIME),
+                facts.order_activities(changes, "shop", [joins.EVENT_TIME]))
+
+    table = keyed_table(str(root / "taken-back-table"), ["id", "order_detail_activity_id"], joins.VERSION, versioned=True,
+                        deleted=joins.DELETED)
+    seen = []
+
+    def write(df, batch_id):
+        table.merge(df, batch_id)
+        seen.append(rows(table.read(spark), ["id", "activity_id"]))
+        table.merge(df, batch_id)
+        if batch_id == 1:
+            table.compact(spark, keep_deletes=True)
+
+    run(joins.changelog_left_join(*sides(True), ["id"], joins.ORDER_BOUND, "order_detail_activity_id"), "taken-back", root, write)
+    assert seen[0] == Counter([("1", None), ("2", None), ("3", None)])
+    left, right = sides(False)
+    expected = rows(left.join(right.drop(joins.EVENT_TIME), "id", "left"), ["id", "activity_id"])
+    assert rows(table.read(spark), ["id", "activity_id"]) == expected == Counter(
+        [("1", "xa"), ("1", "xb"), ("2", "xc"), ("3", None), ("4", "xe")])
+    table.compact(spark)
+    assert rows(table.read(spark), ["id", "activity_id"]) == expected
+
+
+def test_codes_added_while_a_stateful_fact_runs_are_found(spark, root):
+    """Codes of order details and payments that come into the dictionary between two batches of the same queries."""
+    folder = root / "stateful-codes"
+    folder.mkdir()
+
+    def order(o, second):
+        return [change("order_info", "insert", {"id": f"o{o}", "order_status": "1001", "user_id": "u"}, second),
+                change("order_detail", "insert", {"id": f"d{o}", "order_id": f"o{o}", "source_type": f"240{o}"}, second),
+                change("payment_info", "update", {"order_id": f"o{o}", "payment_type": f"110{o}", "payment_status": "1602"}, second),
+                *[change(t, "insert", {"id": "f", "order_detail_id": "f"}, second + 60)
+                  for t in ("order_detail_activity", "order_detail_coupon")],
+                change("order_info", "insert", {"id": f"f{o}"}, second + 60), change("order_detail", "insert", {"id": f"f{o}"}, second + 60)]
+
+    def put(number, lines):
+        (folder / f"000{number}.txt").write_text("\n".join(lines) + "\n", encoding="utf-8")
+
+    dictionary = str(root / "stateful-dictionary")
+    shape = "dic_code STRING, dic_name STRING"
+    spark.createDataFrame([("2401", "one"), ("1101", "card")], shape).write.parquet(dictionary)
+    put(1, order(1, 0))
+
+    def frames():
+        changes = joins.with_event_time(change_rows(spark, str(folder), True))
+        details = facts.order_details(changes, "shop", [joins.EVENT_TIME]).withColumnRenamed(
+            "source_type", "source_type_id").withColumns({c: F.lit(None).cast("string") for c in (
+                "user_id", "province_id", "activity_id", "activity_rule_id", "coupon_id", "source_type_name")})
+        return {"order_wide": joins.order_wide(changes, None, "shop"), "pay_detail": joins.pay_detail(changes, details, None, "shop")}
+
+    def turn():
+        for name, frame in frames().items():
+            writer = jobs.dictionary_writer(
+                lambda rows_, dic_, n=name: lookup.name_codes(rows_, dic_, joins.NAMES[n]), lambda: spark.read.parquet(dictionary),
+                jobs.table_writer(str(root / f"named-{name}")))
+            run(frame, f"named-{name}", root, writer)
+
+    turn()
+    spark.createDataFrame([("2402", "two"), ("1102", "cash")], shape).write.mode("append").parquet(dictionary)
+    put(2, order(2, 1000))
+    put(3, order(9, 2000))
+    turn()
+    wide = rows(spark.read.parquet(str(root / "named-order_wide")).filter("order_id like 'o%'"), ["id", "source_type_name"])
+    assert wide == Counter([("d1", "one"), ("d2", "two")])
+    paid = rows(spark.read.parquet(str(root / "named-pay_detail")), ["order_detail_id", "source_type_name", "payment_type_name"])
+    assert paid == Counter([("d1", "one", "card"), ("d2", "two", "cash")])
+
+
 def test_log_splitter(spark, root):
     def record(mid, is_new, ms, **extra):
         return json.dumps({"common": {"mid": mid, "is_new": is_new}, "page": {"page_id": "home"}, "ts": ms, **extra})
