@@ -11,15 +11,20 @@ from retailflow.operators.ordered import order_key
 
 
 
-def _whole_record(text: Column) -> Column:
-    """The text as a variant if it is exactly one JSON object, else null.
+# Objects and lists of objects inside a record.
+_PARTS = "common MAP<STRING, STRING>, page MAP<STRING, STRING>, displays ARRAY<MAP<STRING, STRING>>, actions ARRAY<MAP<STRING, STRING>>"
+
+
+def _whole(text: Column) -> Column:
+    """Whether the text is exactly one JSON object.
 
     The parser stops after the first complete value.  So the text is put into an array in front of a number that
-    depends on it: other text behind the record, or a second record, moves that number away.
+    depends on it: other text behind the record, or a second record, moves that number away.  A value that begins with
+    a brace is an object.
     """
     mark = F.xxhash64(text)
     both = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), mark.cast("string"), F.lit("]")))
-    return F.struct(both.alias("both"), mark.alias("mark"))
+    return F.try_variant_get(both, "$[1]", "bigint").eqNullSafe(mark) & F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
 
 
 def _numbers(text: Column) -> Column:
@@ -35,42 +40,33 @@ def _part(record: Column, fields: T.StructType) -> Column:
     return F.when(record.isNotNull(), F.struct(*[c.alias(n) for c, n in zip(known, names)], more.alias("more")))
 
 
+def _texts(lines: DataFrame, value: str) -> DataFrame:
+    return lines.select(*[c for c in lines.columns if c != value], F.explode(F.array(F.col(value))).alias("value"))
+
+
 def parse_logs(lines: DataFrame, value: str = "value") -> DataFrame:
     """Parse log text into the log columns; the text stays as ``value`` and ``dirty`` marks bad text.
 
     Text is dirty if it is not exactly one JSON object; a field of another type than usual does not make it so.  A
     number may stand in quotes or have decimals, and a part of a wrong kind is null.  Fields that the schema does
     not name are kept as text: in ``common.more``, ``page.more`` and, for the record itself, ``more``.
-    The parsed record passes through a generator, which keeps the optimizer from copying the parser into every
-    filter above it: each text is parsed once.
+    The text and the parsed record pass through generators, which keep the optimizer from copying what made the text
+    into the parsers, and the parsers into every filter above them: each text is made and parsed once.
     """
     others = [c for c in lines.columns if c != value]
-    text = F.col(value)
-    found = lines.select(*others, text.alias("value"), F.inline(F.array(_whole_record(text))))
-    whole = (
-        F.try_variant_get("both", "$[1]", "bigint").eqNullSafe(F.col("mark"))
-        & F.coalesce(F.schema_of_variant(F.try_variant_get("both", "$[0]", "variant")).startswith("OBJECT"), F.lit(False))
-    )
-
-    def get(path: str, kind: str) -> Column:
-        return F.try_variant_get("both", path, kind)
-
-    parts = found.select(
-        *others, "value", (~whole).alias("dirty"),
-        get("$[0]", "map<string,string>").alias("_record"),
-        get("$[0].common", "map<string,string>").alias("_common"), get("$[0].page", "map<string,string>").alias("_page"),
-        get("$[0].displays", "array<map<string,string>>").alias("displays"),
-        get("$[0].actions", "array<map<string,string>>").alias("actions"),
-    )
+    text = F.col("value")
+    found = _texts(lines, value).select(*others, "value", F.inline(F.array(F.struct(
+        F.coalesce(_whole(text), F.lit(False)).alias("whole"), F.from_json(text, "MAP<STRING, STRING>").alias("record"),
+        F.from_json(text, _PARTS).alias("parts")))))
     typed = {
-        "common": _part(F.col("_common"), schemas.LOG["common"].dataType),
-        "page": _part(F.col("_page"), schemas.LOG["page"].dataType),
-        "start": F.col("_record")["start"], "displays": F.col("displays"), "actions": F.col("actions"),
-        "err": F.col("_record")["err"], "ts": _numbers(F.col("_record")["ts"]),
-        "more": F.map_filter("_record", lambda key, _: ~key.isin(schemas.LOG.names)),
+        "common": _part(F.col("parts.common"), schemas.LOG["common"].dataType),
+        "page": _part(F.col("parts.page"), schemas.LOG["page"].dataType),
+        "start": F.col("record")["start"], "displays": F.col("parts.displays"), "actions": F.col("parts.actions"),
+        "err": F.col("record")["err"], "ts": _numbers(F.col("record")["ts"]),
+        "more": F.map_filter("record", lambda key, _: ~key.isin(schemas.LOG.names)),
     }
-    return parts.select(*others, "value", "dirty", *[
-        F.when(~F.col("dirty"), column).alias(name) for name, column in typed.items()])
+    return found.select(*others, "value", (~F.col("whole")).alias("dirty"), *[
+        F.when(F.col("whole"), column).alias(name) for name, column in typed.items()])
 
 
 def land_logs(parsed: DataFrame, path: str) -> DataFrame:
@@ -79,6 +75,11 @@ def land_logs(parsed: DataFrame, path: str) -> DataFrame:
     return parsed.sparkSession.read.schema(parsed.schema).parquet(path)
 
 
+def bad_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Dirty texts alone: they are judged without being taken apart."""
+    return _texts(lines, value).select("value").filter(~F.coalesce(_whole(F.col("value")), F.lit(False)))
+
+
 def dirty_lines(parsed: DataFrame) -> DataFrame:
     return parsed.filter("dirty").select("value")
 

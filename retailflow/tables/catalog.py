@@ -145,7 +145,7 @@ def _repaired(spark, folder):
 
 @query
 def log_dirty_split(spark, folder):
-    return logs.dirty_lines(_parsed(spark, folder))
+    return logs.bad_lines(inputs.log_lines(spark, folder))
 
 
 @query
