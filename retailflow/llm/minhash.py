@@ -5,9 +5,14 @@ smallest document goes on.  Bands of full minima make buckets; of the minima the
 kept, packed into four longs.  In every bucket each member is compared with the bucket's smallest document.  A
 comparison first estimates the similarity from the count of equal two-bit fields, corrected for those that agree by
 chance, and is dropped only when it lies far below the threshold; the rest are decided on the full sets.  Linked
-documents are then contracted.  Buckets that still hold several components compare their members outside the first
-document's component with all members of other components, in salted blocks, so no pair that shares a bucket and
-could change a component is left out, and no group is expanded into all its pairs.
+documents are then contracted.
+
+Buckets that still hold several components hold texts near the threshold, mostly below it.  There a shingle is called
+rare if at most ``rare`` of these texts hold it.  A pair either shares a rare shingle, and is found through it, in a
+number of pairs bounded by ``rare`` per shingle; or its intersection lies within the other shingles of both, which
+bounds the similarity by their numbers: a member whose bound lies below the threshold for every size in its bucket
+meets nobody, and the rest meet in salted blocks under the bound of the pair.  Both ways are exact, so no pair that
+shares a bucket and could change a component is left out, and no group is expanded into all its pairs.
 
 With the defaults a pair at the threshold shares no bucket with probability (1 - 0.8^4)^28, under one in a million.
 
@@ -182,8 +187,23 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
+def shared_rare(sets: DataFrame, rare: int) -> tuple[DataFrame, DataFrame]:
+    """Per document ``rep, core``: how many of its shingles more than ``rare`` of the documents hold; and all pairs
+    ``a > b`` of documents that share one of the others.  An id with several sets is not bounded: all it has is core."""
+    held = sets.select(F.col("doc").alias("rep"), F.explode("hashes").alias("h"))
+    few = held.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") <= rare)
+    rarely = saved(held.join(few, "h"), "rare")
+    sizes = sets.groupBy(F.col("doc").alias("rep")).agg(F.max(F.size("hashes")).alias("n"), F.count(F.lit(1)).alias("sets"))
+    own = F.when(F.col("sets") == 1, F.coalesce("rare", F.lit(0))).otherwise(0)
+    core = sizes.join(rarely.groupBy("rep").agg(F.count(F.lit(1)).alias("rare")), "rep", "left").select(
+        "rep", (F.col("n") - own).alias("core"))
+    twice = rarely.where("df > 1").select("h", "rep")
+    pairs = twice.withColumnRenamed("rep", "a").join(twice.withColumnRenamed("rep", "b"), "h").where("a > b")
+    return core, pairs.select("a", "b").distinct()
+
+
 def link_documents(documents: DataFrame, width: int = 2, percent: int = 80, rows: int = 4, margin: float = 0.3,
-                   block: int = 256) -> DataFrame:
+                   block: int = 256, rare: int = 32) -> DataFrame:
     """Per document ``doc_id, n_shingles, component_id, kept``."""
     every = signatures(documents, width, rows)
     known = every.where("doc_id is not null and n > 0")
@@ -210,32 +230,41 @@ def link_documents(documents: DataFrame, width: int = 2, percent: int = 80, rows
     links = confirmed(pairs, sets, percent)
     tied = components(links)
 
-    # Buckets that hold more than one component: who is not with the first document meets everyone of another one.
+    # Buckets that hold more than one component: links between these are still to be found.
     label = F.coalesce(F.col("component"), F.col("rep"))
     members = members.join(tied.withColumnRenamed("doc", "rep"), "rep", "left").withColumn("component", label)
+    members = members.join(facts, "rep")
     open_buckets = members.groupBy("bucket").agg(
-        F.min_by("component", "rep").alias("first"), F.min("component").alias("low"), F.max("component").alias("high")
-    ).where("low < high").select("bucket", "first")
-    members = saved(members.join(open_buckets, "bucket").join(facts, "rep"), "open")
+        F.min_by("component", "rep").alias("first"), F.min("component").alias("low"), F.max("component").alias("high"),
+        F.min("n").alias("least_n"),
+    ).where("low < high").select("bucket", "first", "least_n")
+    members = saved(members.join(open_buckets, "bucket"), "open")
+    sets = shingle_sets(documents, members.select(F.col("rep").alias("doc")).distinct(), width)
+    core, sharing = shared_rare(sets, rare)
+
+    nodes = saved(members.select("rep", "component", "n", "s0", "s1", "s2", "s3").distinct(), "open-nodes")
+    ends = [nodes.select(F.col("rep").alias(e), F.struct("component", "n", "s0", "s1", "s2", "s3").alias(f"f{e}")) for e in "ab"]
+    by_rare = sharing.join(ends[0], "a").join(ends[1], "b").where(
+        (F.col("fa.component") != F.col("fb.component")) & possible("fa", "fb", percent, margin)).select("a", "b")
+
+    # All that a member without rare shingles in common can share with another is its core.
+    live = members.join(core, "rep").where((100 + percent) * F.col("core") >= percent * (F.col("n") + F.col("least_n")))
+    node = F.struct("rep", "component", "n", "core", "s0", "s1", "s2", "s3")
     blocks = F.ceil(F.col("size") / block).cast("int")
-    left = members.where("component <> first").select(
-        "bucket", F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("i"), F.struct("rep", "component", "n", "s0", "s1", "s2",
-                                                                                    "s3").alias("p"), blocks.alias("blocks")) \
-        .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    right = members.select(
-        "bucket", F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("j"), F.struct("rep", "component", "n", "s0", "s1", "s2",
-                                                                                    "s3").alias("q"), blocks.alias("blocks")) \
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    every_block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = live.select("bucket", "first", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("own"), node.alias("node"))
+    left = dealt.where("node.component <> first").select(
+        "bucket", F.col("own").alias("i"), every_block.alias("j"), F.col("node").alias("p"))
+    right = dealt.select("bucket", "first", every_block.alias("i"), F.col("own").alias("j"), F.col("node").alias("q"))
     other = F.col("p.component") != F.col("q.component")
     # Of two members outside the first component one order is enough.
-    once = (F.col("q.rep") < F.col("p.rep")) | (F.col("q.component") == F.col("bucket_first"))
-    right = right.join(open_buckets.withColumnRenamed("first", "bucket_first"), "bucket")
-    more = left.join(right, ["bucket", "i", "j"]).where(other & once & possible("p", "q", percent, margin)).select(
-        F.greatest("p.rep", "q.rep").alias("a"), F.least("p.rep", "q.rep").alias("b")).distinct()
-    more = saved(more.join(pairs, ["a", "b"], "left_anti"), "pairs")
+    once = (F.col("q.rep") < F.col("p.rep")) | (F.col("q.component") == F.col("first"))
+    bounded = (100 + percent) * F.least("p.core", "q.core") >= percent * (F.col("p.n") + F.col("q.n"))
+    by_core = left.join(right, ["bucket", "i", "j"]).where(other & once & bounded & possible("p", "q", percent, margin)).select(
+        F.greatest("p.rep", "q.rep").alias("a"), F.least("p.rep", "q.rep").alias("b"))
+    more = saved(by_rare.unionByName(by_core).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
-        ids = more.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-        links = links.unionByName(confirmed(more, shingle_sets(documents, ids, width), percent))
+        links = links.unionByName(confirmed(more, sets, percent))
     reached = components(links.unionByName(copies))
     out = every.join(reached.withColumnRenamed("doc", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
