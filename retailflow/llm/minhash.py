@@ -217,7 +217,7 @@ def link_documents(documents: DataFrame, width: int = 2, percent: int = 80, rows
     shared = members.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last"),
                                            F.count(F.lit(1)).alias("size")).where("pivot < last")
     members = saved(members.join(shared.select("bucket", "pivot", "size"), "bucket"), "buckets")
-    facts = reps.select("rep", "n", "s0", "s1", "s2", "s3")
+    facts = reps.select("rep", "n", "s0", "s1", "s2", "s3", "bands")
 
     def with_facts(pairs: DataFrame) -> DataFrame:
         for end in ("a", "b"):
@@ -249,7 +249,7 @@ def link_documents(documents: DataFrame, width: int = 2, percent: int = 80, rows
 
     # All that a member without rare shingles in common can share with another is its core.
     live = members.join(core, "rep").where((100 + percent) * F.col("core") >= percent * (F.col("n") + F.col("least_n")))
-    node = F.struct("rep", "component", "n", "core", "s0", "s1", "s2", "s3")
+    node = F.struct("rep", "component", "n", "core", "s0", "s1", "s2", "s3", "bands")
     blocks = F.ceil(F.col("size") / block).cast("int")
     every_block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = live.select("bucket", "first", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("own"), node.alias("node"))
@@ -260,7 +260,10 @@ def link_documents(documents: DataFrame, width: int = 2, percent: int = 80, rows
     # Of two members outside the first component one order is enough.
     once = (F.col("q.rep") < F.col("p.rep")) | (F.col("q.component") == F.col("first"))
     bounded = (100 + percent) * F.least("p.core", "q.core") >= percent * (F.col("p.n") + F.col("q.n"))
-    by_core = left.join(right, ["bucket", "i", "j"]).where(other & once & bounded & possible("p", "q", percent, margin)).select(
+    # A pair that shares several buckets, all of them open, is made in the first of these only.
+    first_shared = F.array_intersect("p.bands", "q.bands")[0] == F.col("bucket")
+    near = possible("p", "q", percent, margin)
+    by_core = left.join(right, ["bucket", "i", "j"]).where(other & once & bounded & near & first_shared).select(
         F.greatest("p.rep", "q.rep").alias("a"), F.least("p.rep", "q.rep").alias("b"))
     more = saved(by_rare.unionByName(by_core).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
     if not more.isEmpty():
