@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from retailflow.operators import logs, visits, windows
 from retailflow.plans import dims
 from retailflow.session import checkpoint_root
+from retailflow.sinks.first_visits import FirstVisits
 from retailflow.sinks.tables import KeyedTable, append_lines, is_finished, keyed_table, write_batch
 from retailflow.streaming import keyed
 
@@ -114,23 +115,23 @@ def dictionary_writer(
 # --- log split --------------------------------------------------------------------------------------
 
 
-def first_visit_table(path: str) -> KeyedTable:
+def first_visit_table(path: str, **sizes: int) -> FirstVisits:
     """First day of each device.  Every device is stored once, by the batch that saw it first."""
-    return keyed_table(path, "mid", [], schema="mid STRING, first_day DATE")
+    return FirstVisits(path, **sizes)
 
 
-def log_splitter(first_visits: KeyedTable, outputs: str, value: str = "value") -> BatchWriter:
+def log_splitter(first_visits: FirstVisits, outputs: str, value: str = "value", fold_every: int | None = None) -> BatchWriter:
     """Batch writer that parses log text, repairs the new-visitor flag and writes the six outputs.
 
-    A batch adds only devices never seen before to ``first_visits``; ``first_visits.compact`` folds the
-    batches from time to time.  Outputs are folders ``dirty``, ``error``, ``start``, ``display``,
-    ``action`` and ``page``.
+    A batch asks ``first_visits`` for its own devices only and adds those never seen before; ``first_visits.compact`` folds
+    the batches from time to time, here after every ``fold_every`` batches.  Outputs are folders ``dirty``, ``error``,
+    ``start``, ``display``, ``action`` and ``page``.
     """
 
     def write(lines: DataFrame, batch_id: int) -> None:
-        session = lines.sparkSession
         # Parsed once for all outputs; a lost executor's blocks are recomputed from the batch.
         parsed = logs.parse_logs(lines, value).persist()
+        kept = [parsed]
         try:
             clean = logs.clean_logs(parsed).withColumn(
                 "_day", F.timestamp_millis("ts").cast("date")
@@ -139,26 +140,30 @@ def log_splitter(first_visits: KeyedTable, outputs: str, value: str = "value") -
             seen = clean.filter("_mid is not null").groupBy(F.col("_mid").alias("mid")).agg(
                 F.min_by(F.when(is_new, F.col("_day")).otherwise(F.date_sub("_day", 1)),
                          logs.first_visit_order(F.col("ts"), is_new)).alias("first_day")
-            )
+            ).persist()
+            kept.append(seen)
             # Only earlier batches count as known, so a repeated batch gives the same rows.
-            known = first_visits.rows(session, before=batch_id)
-            first_visits.merge(seen if known is None else seen.join(known, "mid", "left_anti"), batch_id)
-            first_days = first_visits.rows(session, before=batch_id + 1).select(
-                F.col("mid").alias("_mid"), "first_day"
-            )
+            known = first_visits.known(seen, batch_id).select(
+                "mid", F.col("first_day").alias("_stored"), F.lit(True).alias("_known"))
+            first_days = seen.join(known, "mid", "left").select(
+                F.col("mid").alias("_mid"), F.when(F.col("_known"), F.col("_stored")).otherwise(F.col("first_day"))
+                .alias("first_day"), F.col("_known").isNull().alias("_added")).persist()
+            kept.append(first_days)
+            first_visits.add(first_days.filter("_added").withColumnRenamed("_mid", "mid"), batch_id)
             late = is_new & (F.col("_day") != F.col("first_day"))
-            repaired = clean.join(first_days, "_mid", "left").withColumn(
+            repaired = clean.join(first_days.drop("_added"), "_mid", "left").withColumn(
                 "common", F.col("common").withField(
                     "is_new", F.when(late, F.lit("0")).otherwise(F.col("common.is_new")))
             ).drop("_mid", "_day", "first_day").persist()
-            try:
-                logs.dirty_lines(parsed).write.mode("overwrite").text(f"{outputs}/dirty/batch={batch_id}")
-                for name, df in logs.split_logs(repaired).items():
-                    append_lines(df, f"{outputs}/{name}", batch_id)
-            finally:
-                repaired.unpersist()
+            kept.append(repaired)
+            logs.dirty_lines(parsed).write.mode("overwrite").text(f"{outputs}/dirty/batch={batch_id}")
+            for name, df in logs.split_logs(repaired).items():
+                append_lines(df, f"{outputs}/{name}", batch_id)
         finally:
-            parsed.unpersist()
+            for frame in kept:
+                frame.unpersist()
+        if fold_every and (batch_id + 1) % fold_every == 0:
+            first_visits.compact(lines.sparkSession)
 
     return write
 
