@@ -14,8 +14,8 @@ LETTER_RUN = r"[\p{L}\p{N}&&[^\p{IsHan}]][\p{L}\p{M}\p{N}&&[^\p{IsHan}]]*"
 HAN_CHARACTER = r"\p{IsHan}"
 HAN_RUN = r"\p{IsHan}+"
 
-# Characters of a Han run that are cut into words together.
-SLICE = 256
+# Characters of a Han run that are cut into words together; a substring is counted off from its slice's beginning.
+SLICE = 64
 
 
 def _all(text: Column, pattern: str) -> Column:
@@ -34,8 +34,9 @@ def han_runs(text: Column) -> Column:
 def han_run_words(runs: DataFrame, words: DataFrame, run: str = "run") -> DataFrame:
     """Words of each run: ``run_id``, ``word``, one row per occurrence.  ``runs`` holds each run once, with its id.
 
-    Only the lengths that the word table holds are tried; these few numbers are read first.  A run is cut into overlapping slices first, so that the
-    work and the rows are in proportion to its length; what is shuffled is the id, the place and the piece.
+    Only the lengths that the word table holds are tried; these few numbers are read first.  A run is cut into slices
+    first, so that the work and the rows are in proportion to its length.  The words found come back to their slices, also to
+    those they reach over into, one row per slice; there the characters that none covers are read off.
     """
     table = words.filter(F.col("word").rlike(f"^{HAN_RUN}$")).select("word").distinct()
     sizes = sorted(row.size for row in table.select(F.length("word").alias("size")).distinct().collect())
@@ -45,21 +46,31 @@ def han_run_words(runs: DataFrame, words: DataFrame, run: str = "run") -> DataFr
         "run_id", "_from", F.substring(F.col(run), F.col("_from"), F.lit(SLICE - 1 + max(sizes, default=1))).alias("_text")
     )
 
-    def pieces(frame: DataFrame, size: Column) -> DataFrame:
-        last = F.least(F.lit(SLICE), F.length("_text") - size + 1)
-        cut = F.transform(F.sequence(F.lit(1), last), lambda at: F.struct(
-            (at + F.col("_from") - 1).alias("start"), F.substring(F.col("_text"), at, size).alias("word")))
-        return frame.select("run_id", F.explode(F.when(last >= 1, cut)).alias("_piece")).select(
-            "run_id", "_piece.start", "_piece.word")
-
-    tried = F.explode(F.array(*map(F.lit, sizes)).cast("array<int>"))
-    grams = pieces(sliced.withColumn("_size", tried), F.col("_size"))
-    matched = grams.join(table, "word", "left_semi")
-    covered = matched.select(
-        "run_id", F.explode(F.sequence(F.col("start"), F.col("start") + F.length("word") - 1)).alias("start")
-    ).distinct()
-    singles = pieces(sliced, F.lit(1)).join(covered, ["run_id", "start"], "left_anti")
-    return matched.select("run_id", "word").unionByName(singles.select("run_id", "word"))
+    def slice_of(place: Column) -> Column:
+        return place - F.pmod(place - 1, F.lit(SLICE))
+
+    def last_of(hit: Column) -> Column:
+        return hit["start"] + F.length(hit["word"]) - 1
+
+    size = F.col("_size")
+    last = F.least(F.lit(SLICE), F.length("_text") - size + 1)
+    cut = F.transform(F.sequence(F.lit(1), last), lambda at: F.struct(
+        (at + F.col("_from") - 1).alias("start"), F.substring(F.col("_text"), at, size).alias("word")))
+    grams = sliced.withColumn("_size", F.explode(F.array(*map(F.lit, sizes)).cast("array<int>"))).select(
+        "run_id", F.explode(F.when(last >= 1, cut)).alias("_hit")).select("run_id", "_hit", "_hit.word")
+    hit = F.col("_hit")
+    found = grams.join(table, "word", "left_semi").select("run_id", "_hit", F.explode(
+        F.sequence(slice_of(hit["start"]), slice_of(last_of(hit)), F.lit(SLICE))).alias("_from"))
+    # At most SLICE words of each length begin in a slice, and fewer reach into it.
+    per_slice = found.groupBy("run_id", "_from").agg(F.collect_list("_hit").alias("_hits"))
+    hits = F.coalesce("_hits", F.array().cast("array<struct<start:int,word:string>>"))
+    own = F.transform(F.filter(hits, lambda h: h["start"] >= F.col("_from")), lambda h: h["word"])
+    places = F.sequence(F.col("_from"), F.col("_from") + F.least(F.lit(SLICE), F.length("_text")) - 1)
+    covered = F.flatten(F.transform(hits, lambda h: F.sequence(h["start"], last_of(h))))
+    singles = F.transform(
+        F.array_except(places, covered), lambda at: F.substring(F.col("_text"), at - F.col("_from") + 1, F.lit(1)))
+    return sliced.join(per_slice, ["run_id", "_from"], "left").select(
+        "run_id", F.explode(F.concat(own, singles)).alias("word"))
 
 
 def explode_words(df: DataFrame, text: str, words: DataFrame | None = None, word: str = "word") -> DataFrame:
