@@ -1,0 +1,106 @@
+"""Lookups in bucketed dimensions: results as of the plain join, one exchange fewer, changes since the snapshot."""
+
+from __future__ import annotations
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from retailflow.operators.lookup import dimension_join
+from retailflow.sinks.bucketed import BucketedDimension
+from retailflow.sinks.tables import keyed_table
+
+FIELDS = {"spu_id": "spuId", "tm": "trademarkId"}
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+def skus(spark, ids, tag):
+    return spark.createDataFrame([(i, f"p{i % 7}", f"{tag}{i}", 1, False) for i in ids],
+                                 "id LONG, spu_id STRING, tm STRING, v INT, gone BOOLEAN")
+
+
+def dimension(tmp_path, buckets=4, **kind):
+    return BucketedDimension(keyed_table(str(tmp_path / "sku"), "id", "v", **kind), f"sku_{uuid.uuid4().hex[:8]}", buckets)
+
+
+def facts(spark):
+    # A third of the facts is of one sku; some name none, or one that is not there.
+    return spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5)).when(F.col("id") % 10 == 1, F.lit(None)).otherwise(F.col("id") % 230)
+        .cast("bigint").alias("sku_id"), F.col("id").alias("n"))
+
+
+def same(a, b):
+    assert a.columns == b.columns
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_one_exchange_fewer_at_equal_results(spark, tmp_path, no_broadcast):
+    dim = dimension(tmp_path)
+    dim.source.merge(skus(spark, range(200), "t"), 0)
+    dim.refresh(spark)
+    plain = dimension_join(facts(spark), spark.createDataFrame(dim.source.read(spark).collect()), "sku_id", FIELDS)
+    got = dim.join(facts(spark), "sku_id", FIELDS)
+    assert exchanges(plain) == 2 and exchanges(got) == 1
+    same(got, plain)
+    # Grouped by the key first, the facts are shuffled for the grouping and neither side for the join.
+    totals = facts(spark).groupBy("sku_id").agg(F.count("*").alias("n"))
+    assert exchanges(totals) == exchanges(dim.join(totals, "sku_id", FIELDS)) == 1
+    stored = spark.table(f"{dim.table}_0")
+    assert len(stored.inputFiles()) == 4
+
+
+def test_changes_since_the_snapshot_win(spark, tmp_path):
+    dim = dimension(tmp_path, deleted="gone")
+    with pytest.raises(FileNotFoundError):
+        dim.join(facts(spark), "sku_id", FIELDS)
+    dim.source.merge(skus(spark, range(100), "old"), 0)
+    dim.refresh(spark)
+    dim.source.merge(skus(spark, range(90, 120), "new"), 1)
+    dim.source.merge(skus(spark, [5, 7], "gone").withColumn("gone", F.lit(True)), 2)
+    dim.source.merge(skus(spark, [7], "back").withColumn("tm", F.lit(None).cast("string")), 3)
+    before = dim.join(facts(spark), "sku_id", FIELDS)
+    same(before, dimension_join(facts(spark), dim.source.read(spark), "sku_id", FIELDS))
+    by_id = {r.sku_id: r.trademarkId for r in before.collect()}
+    assert (by_id[5], by_id[7], by_id[89], by_id[95], by_id[119], by_id[200]) == (None, None, "old89", "new95", "new119", None)
+    dim.refresh(spark)
+    dim.refresh(spark)
+    assert dim.snapshots(spark) == [0, 3]
+    same(dim.join(facts(spark), "sku_id", FIELDS), dimension_join(facts(spark), dim.source.read(spark), "sku_id", FIELDS))
+    dim.source.merge(skus(spark, [1], "x"), 4)
+    dim.source.compact(spark)
+    dim.refresh(spark)
+    assert dim.snapshots(spark) == [3, 4]
+
+
+def test_an_older_version_after_the_snapshot_loses_in_a_versioned_table(spark, tmp_path):
+    dim = dimension(tmp_path, versioned=True)
+    dim.source.merge(skus(spark, range(10), "now").withColumn("v", F.lit(5)), 0)
+    dim.refresh(spark)
+    dim.source.merge(skus(spark, [5], "older"), 1)
+    dim.source.merge(skus(spark, [6], "newer").withColumn("v", F.lit(9)), 2)
+    got = {r.sku_id: r.trademarkId for r in dim.join(facts(spark), "sku_id", FIELDS).collect()}
+    assert (got[5], got[6], got[7]) == ("now5", "newer6", "now7")
+
+
+def test_a_snapshot_that_was_not_finished_is_written_again(spark, tmp_path):
+    dim = dimension(tmp_path)
+    dim.source.merge(skus(spark, range(3), "t"), 0)
+    skus(spark, [9], "half").write.saveAsTable(f"{dim.table}_0")
+    assert dim.snapshots(spark) == []
+    dim.refresh(spark)
+    assert spark.table(f"{dim.table}_0").count() == 3
