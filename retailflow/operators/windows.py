@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from retailflow.functions.columns import MONEY, money
@@ -65,33 +66,40 @@ def keyword_counts(words: DataFrame, ts: str = "ts", word: str = "word", width:
     )
 
 
-def traffic_rows(pages: DataFrame, visitors: DataFrame, jumps: DataFrame, ts: str = "ts") -> DataFrame:
-    """One schema for the three traffic inputs: page rows, daily visitors and bounces as 0/1 counters."""
+def traffic_counters(df: DataFrame, ts: str = "ts", **counters: Column) -> DataFrame:
+    """Rows of one traffic input: its keys and 0/1 counters, those not given being zero."""
+    zero = F.lit(0).cast("bigint")
+    names = ["uv", "sv", "pv", "duration", "uj"]
+    return df.select(
+        "vc", "ch", "ar", "is_new",
+        *[counters.get(name, zero).cast("bigint").alias(name) for name in names], ts,
+    )
+
+
+def page_counters(pages: DataFrame, ts: str = "ts") -> DataFrame:
+    return traffic_counters(
+        pages, ts, sv=F.col("last_page_id").isNull(), pv=F.lit(1), duration=F.coalesce("during_time", F.lit(0)))
 
-    def shape(df: DataFrame, **counters: Column) -> DataFrame:
-        zero = F.lit(0).cast("bigint")
-        names = ["uv", "sv", "pv", "duration", "uj"]
-        return df.select(
-            "vc", "ch", "ar", "is_new",
-            *[counters.get(name, zero).cast("bigint").alias(name) for name in names], ts,
-        )
 
+def traffic_rows(pages: DataFrame, visitors: DataFrame, jumps: DataFrame, ts: str = "ts") -> DataFrame:
+    """One schema for the three traffic inputs: page rows, daily visitors and bounces as 0/1 counters."""
     one = F.lit(1)
-    page_rows = shape(
-        pages,
-        sv=F.col("last_page_id").isNull(),
-        pv=one,
-        duration=F.coalesce("during_time", F.lit(0)),
-    )
-    return shape(visitors, uv=one).unionByName(shape(jumps, uj=one)).unionByName(page_rows)
+    return traffic_counters(visitors, ts, uv=one).unionByName(traffic_counters(jumps, ts, uj=one)).unionByName(
+        page_counters(pages, ts))
 
 
-def traffic_rollup(rows: DataFrame, ts: str = "ts", width: str = WINDOW) -> DataFrame:
+def traffic_rollup(rows: DataFrame, ts: str = "ts", width: str = WINDOW, shift_seconds: int = 0) -> DataFrame:
+    """Traffic sums by window and channel; ``ts`` may be ``shift_seconds`` after the time whose window is meant."""
     sums = {"uvCt": "uv", "svCt": "sv", "pvCt": "pv", "durSum": "duration", "ujCt": "uj"}
-    rolled = tumble(
-        rows, ts, ["vc", "ch", "ar", "is_new"], [F.sum(c).alias(name) for name, c in sums.items()], width
-    )
-    return rolled.withColumnRenamed("is_new", "isNew")
+    aggregates = [F.sum(c).alias(name) for name, c in sums.items()]
+    keys = ["vc", "ch", "ar", "is_new"]
+    if not shift_seconds:
+        return tumble(rows, ts, keys, aggregates, width).withColumnRenamed("is_new", "isNew")
+    start = f"{shift_seconds % int(pd.Timedelta(width).total_seconds())} seconds"
+    shift = F.make_interval(secs=F.lit(shift_seconds))
+    rolled = rows.groupBy(F.window(ts, width, width, start), *keys).agg(*aggregates).withColumn("window", F.struct(
+        (F.col("window.start") - shift).alias("start"), (F.col("window.end") - shift).alias("end")))
+    return stamp(rolled).withColumnRenamed("is_new", "isNew")
 
 
 def home_detail_window(visitors: DataFrame, ts: str = "ts", width: str = WINDOW) -> DataFrame:

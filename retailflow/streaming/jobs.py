@@ -189,6 +189,22 @@ def user_jumps(pages: DataFrame, keep: Sequence[str], span_seconds: int = visits
     )
 
 
+def traffic(pages: DataFrame, span_seconds: int = visits.BOUNCE_SECONDS, width: str = windows.WINDOW) -> DataFrame:
+    """Traffic rollup in one query: visitors and bounces from keyed state, chained with the window aggregate.
+
+    Both sides of the union go by ``due``, the event time plus the span, which is when a bounce can be known; windows are
+    laid so that they are those of the event time.  The watermark is the lesser of the two sides', so a window is sent once
+    all of its bounces were judged.
+    """
+    span = F.make_interval(secs=F.lit(span_seconds))
+    counted = windows.page_counters(pages.withColumn("due", F.col("ts") + span).withWatermark("due", DELAY), "due")
+    seen = keyed.visits_and_jumps(
+        pages.withWatermark("ts", DELAY), "mid", "ts", visits.is_entry(), ["vc", "ch", "ar", "is_new"], span_seconds)
+    seen = windows.traffic_counters(
+        seen, "due", uv=F.col("kind") == keyed.VISITOR, uj=F.col("kind") == keyed.BOUNCE)
+    return windows.traffic_rollup(counted.unionByName(seen), "due", width, span_seconds)
+
+
 def home_detail_visitors(pages: DataFrame) -> DataFrame:
     """0/1 counters of the first home and first detail page of each device and day; output mode ``update``."""
     seen = pages.filter(F.col("page_id").isin(visits.HOME_PAGE, visits.DETAIL_PAGE))

@@ -3,19 +3,19 @@
 First rows of a day are an aggregate inside the JVM.  What needs more than an aggregate runs in stateful processors with
 typed state and timers, fed with the few columns they read: the last day of a user, the pages a device still waits on, the newest
 version of an id.  A processor is called once per key and batch, and what it holds is bounded by days, by the watermark
-delay, or by one row.  The output of the processors carries no watermark, so it is written to a table and the
-windows read it from there.
+delay, or by one row.  The output of the processors carries no watermark, but for `visits_and_jumps`, so it is written
+to a table and the windows read it from there.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
+from datetime import datetime, timezone
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import DateType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampType
 
 from retailflow.functions.columns import as_list
 from retailflow.operators.visits import BOUNCE_SECONDS
@@ -25,6 +25,8 @@ HOLD_MILLIS = 5000
 # A little over a day, so that the day before the newest one stays open where clocks change.
 DAY_DELAY = "26 hours"
 
+VISITOR, BOUNCE = "visitor", "bounce"
+
 _ONE_TEXT = StructType([StructField("value", StringType())])
 
 
@@ -91,34 +93,42 @@ def with_previous_day(firsts: DataFrame, key: str, keep: Sequence[str], history:
         _PreviousDay(keep), output, "append", "None", start)
 
 
+class _FirstDay(StatefulProcessor):
+    """State: the first day of a key, which never expires."""
+
+    def __init__(self, is_new: str, keep: Sequence[str]):
+        self.is_new, self.keep = is_new, list(keep)
+
+    def init(self, handle) -> None:
+        self.first = handle.getValueState("first", "day date")
+
+    def _repaired(self, row, day) -> Row:
+        late = row[self.is_new] == "1" and row["_day"] != day
+        return Row(**{c: row[c] for c in self.keep}, repaired_is_new="0" if late else row[self.is_new])
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        known = self.first.get()
+        if known is None:
+            # Only the batch that brings a key has its rows looked at twice.
+            rows = list(rows)
+            known = (min(rows, key=lambda r: r["_ms"])["_first"],)
+            self.first.update(known)
+        for row in rows:
+            yield self._repaired(row, known[0])
+
+    def close(self) -> None:
+        pass
+
+
 def repair_new_visitor(df: DataFrame, key: str, is_new: str, ts: str, keep: Sequence[str]) -> DataFrame:
     """Every row with ``repaired_is_new``; the first day of a key is stored once and never expires."""
     keep = list(keep)
-    clocked = df.withColumn("_ms", F.unix_millis(F.col(ts))).withColumn(
-        "_day", F.col(ts).cast("date").cast("string")
-    ).withColumn(
-        "_first", F.when(F.col(is_new) == "1", F.col("_day"))
-        .otherwise(F.date_sub(F.col(ts).cast("date"), 1).cast("string")),
+    day = F.col(ts).cast("date")
+    clocked = df.withColumn("_ms", F.unix_millis(F.col(ts))).withColumn("_day", day).withColumn(
+        "_first", F.when(F.col(is_new) == "1", day).otherwise(F.date_sub(day, 1))
     ).select(*dict.fromkeys([key, is_new, *keep]), "_ms", "_day", "_first")
     output = StructType([*clocked.select(*keep).schema.fields, StructField("repaired_is_new", StringType())])
-
-    def step(_key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            first_day = state.get[0]
-        else:
-            batches = list(batches)
-            earliest = min(batches, key=lambda b: b["_ms"].min())
-            first_day = earliest.loc[earliest["_ms"].idxmin(), "_first"]
-            state.update((first_day,))
-        for batch in batches:
-            out = batch[keep].copy()
-            late = (batch[is_new] == "1") & (batch["_day"] != first_day)
-            out["repaired_is_new"] = batch[is_new].mask(late, "0")
-            yield out
-
-    return clocked.groupBy(key).applyInPandasWithState(
-        step, output, _ONE_TEXT, "append", GroupStateTimeout.NoTimeout
-    )
+    return clocked.groupBy(key).transformWithState(_FirstDay(is_new, keep), output, "append", "None")
 
 
 def _row_text(columns: Sequence[str]) -> Column:
@@ -166,6 +176,13 @@ class _Jumps(StatefulProcessor):
             self._wake(wake, first, ms, row)
         return iter(())
 
+    def seen(self, ms: int, row: str) -> Iterator[Row]:
+        """What an entry gives when its turn in event time comes."""
+        return iter(())
+
+    def bounce(self, ms: int, row: str) -> Row:
+        return Row(value=row)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
         _, ms, row = self.pending.get()
@@ -175,10 +192,12 @@ class _Jumps(StatefulProcessor):
         due.sort(key=lambda item: item[0])
         for at, entry, text in due:
             if ms is not None and (entry or at - ms >= self.span):
-                yield Row(value=row)
+                yield self.bounce(ms, row)
+            if entry:
+                yield from self.seen(at, text)
             ms, row = (at, text) if entry else (None, None)
         if ms is not None and ms + self.span <= watermark:
-            yield Row(value=row)
+            yield self.bounce(ms, row)
             ms, row = None, None
         if due and later:
             self.waiting.put(later)
@@ -210,6 +229,50 @@ def user_jumps(
     return _rows_of_text(judged, df, keep)
 
 
+class _Visits(_Jumps):
+    """Bounces, and the first entry of each day; both come with the end of the entry's span as their event time.
+
+    An entry is judged at the first watermark at or after its span's end, or earlier, so that time is never behind
+    the watermark that a chained operator goes by.
+    """
+
+    def init(self, handle) -> None:
+        super().init(handle)
+        self.day = handle.getValueState("day", "day string")
+
+    def _row(self, kind: str, ms: int, row: str) -> Row:
+        return Row(due=datetime.fromtimestamp((ms + self.span) / 1000, timezone.utc), kind=kind, value=row)
+
+    def seen(self, ms: int, row: str) -> Iterator[Row]:
+        day = (json.loads(row)["_day"],)
+        if self.day.get() != day:
+            self.day.update(day)
+            yield self._row(VISITOR, ms, row)
+
+    def bounce(self, ms: int, row: str) -> Row:
+        return self._row(BOUNCE, ms, row)
+
+
+def visits_and_jumps(
+    df: DataFrame, key: str, ts: str, entry: Column, keep: Sequence[str], span_seconds: int = BOUNCE_SECONDS
+) -> DataFrame:
+    """First entries of a day and bounces as ``kind``, the ``keep`` columns, and ``due``: event time plus the span.
+
+    One stateful step, whose output carries its watermark on ``due``, so that another stateful operator may follow in the
+    same query.  ``ts`` carries the watermark; both kinds are judged in event-time order.
+    """
+    keep = list(keep)
+    is_entry = F.coalesce(entry, F.lit(False))
+    day = F.date_format(ts, "yyyy-MM-dd").alias("_day")
+    pages = df.select(key, ts, F.unix_millis(F.col(ts)).alias("_ms"), is_entry.alias("_entry"),
+                      F.when(is_entry, F.to_json(F.struct(*keep, day))).alias("_row"))
+    output = StructType([StructField("due", TimestampType()), StructField("kind", StringType()), *_ONE_TEXT.fields])
+    judged = pages.groupBy(key).transformWithState(
+        _Visits(span_seconds * 1000), output, "append", "EventTime", eventTimeColumnName="due")
+    schema = StructType([f for name in keep for f in df.schema.fields if f.name == name])
+    return judged.select("due", "kind", F.from_json("value", schema).alias("row")).select("due", "kind", "row.*")
+
+
 class _Latest(StatefulProcessor):
     """State: the newest version of a key and its row; a timer sends it."""
 

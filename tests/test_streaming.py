@@ -270,6 +270,31 @@ def test_traffic_rollup_over_stored_visits(spark, root, page_folder):
     assert rows(spark.read.parquet(out), columns) == rows(expected, columns)
 
 
+def test_traffic_in_one_query(spark, root, page_folder):
+    """Keyed state and the window aggregate in one plan; nothing is stored in between, and a restart adds nothing."""
+    stream = jobs.traffic(page_stream(spark, page_folder))
+    out = run(stream, "traffic-one", root)
+    run(jobs.traffic(page_stream(spark, page_folder)), "traffic-one", root)
+    batch = page_batch(spark, page_folder)
+    expected = windows.traffic_rollup(windows.traffic_rows(
+        batch, visits.unique_visitors(batch), visits.user_jumps(batch))).filter("stt < '2022-04-15'")
+    columns = schemas.WINDOW_RESULTS["traffic"]
+    got = rows(spark.read.parquet(out).filter("stt < '2022-04-15'"), columns)
+    assert got == rows(expected, columns)
+    assert sum(r[columns.index("ujCt")] * n for r, n in got.items()) > 10
+
+
+def test_traffic_with_other_spans_and_windows(spark, root, page_folder):
+    """Windows that the span does not fill evenly lie where they lie in batch."""
+    out = run(jobs.traffic(page_stream(spark, page_folder), 7, "4 seconds"), "traffic-7", root)
+    batch = page_batch(spark, page_folder)
+    expected = windows.traffic_rollup(windows.traffic_rows(
+        batch, visits.unique_visitors(batch), visits.user_jumps(batch, span_seconds=7)), width="4 seconds")
+    columns = schemas.WINDOW_RESULTS["traffic"]
+    before = "stt < '2022-04-15'"
+    assert rows(spark.read.parquet(out).filter(before), columns) == rows(expected.filter(before), columns)
+
+
 def test_keyword_window(spark, root):
     lines = [json.dumps({"item": w, "ms": NOON + i * 3000}) for i, w in enumerate(
         ["red shoe", "shoe", "Shoe 42", "hat", "red hat"])]
