@@ -24,12 +24,14 @@ class BucketedDimension:
     """Snapshot ``table`` (in the session's catalog) of a keyed table with one key column.
 
     ``buckets`` is fixed with the table: about as many as the shuffle partitions of the joins that use it.  A snapshot
-    is written under a new name and then named in ``table``'s view, so a lookup that runs meanwhile reads the old one.
+    is a table of its own, named by the batch it goes up to and marked when it is whole, so a lookup that runs meanwhile reads
+    the one before.  Files lie in the warehouse, or under ``path``.
     """
 
     source: KeyedTable
     table: str
     buckets: int
+    path: str | None = None
 
     @property
     def key(self) -> str:
@@ -53,13 +55,23 @@ class BucketedDimension:
         if upto is None or upto in before:
             return
         name = f"{self.table}_{upto}"
-        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+        self._drop(spark, upto)
         # One task per bucket, hence one file per bucket: files of one bucket need no merging to be in order.
-        self.source.read(spark).repartition(self.buckets, self.key).write.bucketBy(self.buckets, self.key).sortBy(
-            self.key).format("parquet").saveAsTable(name)
+        writer = self.source.read(spark).repartition(self.buckets, self.key).write.bucketBy(
+            self.buckets, self.key).sortBy(self.key).format("parquet")
+        if self.path is not None:
+            writer = writer.option("path", f"{self.path}/{name}")
+        writer.saveAsTable(name)
         spark.sql(f"ALTER TABLE `{name}` SET TBLPROPERTIES ('{UPTO}' = '{upto}')")
         for old in before[:-1]:
-            spark.sql(f"DROP TABLE IF EXISTS `{self.table}_{old}`")
+            self._drop(spark, old)
+
+    def _drop(self, spark: SparkSession, number: int) -> None:
+        name = f"{self.table}_{number}"
+        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+        if self.path is not None:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
     def join(self, facts: DataFrame, key: str, fields: dict[str, str]) -> DataFrame:
         """`lookup.dimension_join` with this dimension: ``fields`` maps its columns to output names, unknown keys get null."""

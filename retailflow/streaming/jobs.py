@@ -194,8 +194,9 @@ def traffic(pages: DataFrame, span_seconds: int = visits.BOUNCE_SECONDS, width:
 
     Both sides of the union go by ``due``, the event time plus the span, which is when a bounce can be known; windows are
     laid so that they are those of the event time.  The watermark is the lesser of the two sides', so a window is sent once
-    all of its bounces were judged.
+    all of its bounces were judged.  Pages without a time are in no window.
     """
+    pages = pages.filter("ts is not null")
     span = F.make_interval(secs=F.lit(span_seconds))
     counted = windows.page_counters(pages.withColumn("due", F.col("ts") + span).withWatermark("due", DELAY), "due")
     seen = keyed.visits_and_jumps(

@@ -7,6 +7,7 @@ so that results can be compared by value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,7 +18,9 @@ from retailflow.functions.keywords import explode_words
 from retailflow.operators import changelog, logs, lookup, visits, windows
 from retailflow.plans import dims, facts
 from retailflow.plans import windows as plan_windows
-from retailflow.session import scratch_path
+from retailflow.session import ROCKSDB_PROVIDER, scratch_path
+from retailflow.sinks.bucketed import BucketedDimension
+from retailflow.sinks.once import AppendOnce, settled
 from retailflow.sinks.shape import json_lines, positional
 from retailflow.sinks.tables import keyed_table
 from retailflow.sources.records import changelog_rows, json_table
@@ -104,6 +107,33 @@ def snk_upsert_delete(spark, folder):
     return stored.read(spark).drop("version")
 
 
+@query
+def snk_append_once(spark, folder):
+    """Orders by status into a table that only takes appends: every batch is sent twice, and the first try of each breaks off
+    after some of its rows."""
+    orders = inputs.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    rows, ledger = scratch_path(spark, "appended"), scratch_path(spark, "ledger")
+    broken = set()
+
+    def append(df):
+        number = df.select("_batch").first()
+        if number is not None and number not in broken:
+            broken.add(number)
+            df.filter("o_orderpriority < '3'").write.mode("append").parquet(rows)
+            raise ConnectionError("broken off")
+        df.write.mode("append").parquet(rows)
+
+    sink = AppendOnce("orders", scratch_path(spark, "stage"), append, lambda df: df.write.mode("append").parquet(ledger))
+    open_orders = F.col("o_orderstatus").eqNullSafe("O")
+    for number, part in enumerate([orders.filter(open_orders), orders.filter(~open_orders)]):
+        for _ in range(3):
+            try:
+                sink(part, number)
+            except ConnectionError:
+                continue
+    return settled(spark.read.parquet(rows), spark.read.parquet(ledger))
+
+
 @query
 def retract_left_join(spark, folder):
     """Order details and their activities as changes of a left outer join, stored and read back."""
@@ -478,6 +508,31 @@ def refund_window(spark, folder):
     )
 
 
+@query
+def traffic_stream(spark, folder):
+    """The traffic rollup as one streaming query over stored pages, keyed state and windows chained.
+
+    A last row a year on moves the watermark past all windows.
+    """
+    pages = inputs.page_rows(spark, folder).select(
+        "mid", "vc", "ch", "ar", "is_new", "last_page_id", "during_time", F.col("ts").cast("timestamp").alias("ts"))
+    end = pages.agg(F.max("ts").alias("ts")).select(
+        *[F.lit("end").alias(c) for c in ("mid", "vc", "ch", "ar", "is_new", "last_page_id")],
+        F.lit(0).cast("bigint").alias("during_time"), F.expr("ts + interval 365 days").alias("ts"))
+    source, target = scratch_path(spark, "pages"), scratch_path(spark, "traffic")
+    pages.unionByName(end).write.parquet(source)
+    rollup = jobs.traffic(spark.readStream.schema(pages.schema).parquet(source), JUMP_SECONDS, HOUR)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, ROCKSDB_PROVIDER)
+    try:
+        running = jobs.store(rollup, PurePosixPath(target).name, target, checkpoints=scratch_path(spark, "checkpoints"))
+    finally:
+        spark.conf.set(provider, before)
+    running.awaitTermination()
+    return spark.read.schema(rollup.schema).parquet(target).filter("not vc <=> 'end'")
+
+
 # --- dimensions -------------------------------------------------------------------------------------
 
 
@@ -492,6 +547,22 @@ def dim_lookup_left(spark, folder):
     )
 
 
+@query
+def dim_lookup_bucketed(spark, folder):
+    """Sales by part, named from a bucketed snapshot of the parts and what changed since: large parts have a new name,
+    small ones were deleted."""
+    parts = inputs.table(spark, folder, "part").select(
+        "p_partkey", "p_name", "p_brand", F.lit(False).alias("gone"), "p_size")
+    stored = keyed_table(scratch_path(spark, "parts"), "p_partkey", [], deleted="gone")
+    dimension = BucketedDimension(stored, PurePosixPath(stored.root).name.replace("-", "_"), 8, scratch_path(spark, "buckets"))
+    stored.merge(parts, 0)
+    dimension.refresh(spark)
+    stored.merge(parts.filter("p_size > 40").withColumn("p_name", F.concat("p_name", F.lit(" new"))), 1)
+    stored.merge(parts.filter("p_size < 5").withColumn("gone", F.lit(True)), 2)
+    sold = inputs.table(spark, folder, "lineitem").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("sold"))
+    return dimension.join(sold, "l_partkey", {"p_name": "part_name", "p_brand": "brand"})
+
+
 @query
 def snowflake_enrich(spark, folder):
     products = inputs.product_dimensions(spark, folder)

@@ -220,6 +220,13 @@ routed as (
     'id=' || n_nationkey || ',name=' || n_name, '1' from nation
 )"""
 
+
+def _rollup(width: str) -> str:
+    return f"""with {TRAFFIC} select {bucket(width)}, vc, ch, ar, is_new as isNew,
+      {_total('uv', 'uvCt')}, {_total('sv', 'svCt')}, {_total('pv', 'pvCt')},
+      {_total('duration', 'durSum')}, {_total('uj', 'ujCt')} from traffic group by all"""
+
+
 ORACLE: dict[str, str] = {
     # sources and sinks
     "src_json_table": """select cast(o_orderkey as varchar) as order_id, o_orderstatus as status,
@@ -233,6 +240,7 @@ ORACLE: dict[str, str] = {
         status as order_status, cast(o_custkey as varchar) as user_id,
         cast(operated as varchar) as operate_time, cast(o_orderdate as varchar) as ts
         from states where kind = 'update'""",
+    "snk_append_once": "select o_orderkey, o_custkey, o_orderstatus, o_orderpriority from orders",
     "snk_upsert_delete": f"""with {STATES} select cast(o_orderkey as varchar) as id,
         status as order_status, cast(o_custkey as varchar) as user_id,
         cast(operated as varchar) as operate_time, cast(o_orderdate as varchar) as ts
@@ -291,9 +299,8 @@ ORACLE: dict[str, str] = {
           count(*) as uuCt
         from logins where previous is null or previous <> d group by all""",
     "traffic_union": f"""with {TRAFFIC} select * from traffic""",
-    "traffic_rollup_window": f"""with {TRAFFIC} select {bucket('1 day')}, vc, ch, ar, is_new as isNew,
-          {_total('uv', 'uvCt')}, {_total('sv', 'svCt')}, {_total('pv', 'pvCt')},
-          {_total('duration', 'durSum')}, {_total('uj', 'ujCt')} from traffic group by all""",
+    "traffic_rollup_window": _rollup("1 day"),
+    "traffic_stream": _rollup("1 hour"),
     # keywords
     "keyword_explode": f"""select doc_id, unnest({_words('text')}) as word from documents""",
     "keyword_window": f"""with words as (
@@ -447,6 +454,10 @@ ORACLE: dict[str, str] = {
     # dimensions
     "dim_lookup_left": """select c_custkey, c_name, s_name as supplier, s_nationkey as supplier_nation
         from customer left join supplier on s_suppkey = c_custkey""",
+    "dim_lookup_bucketed": """select l_partkey, count(*) as sold,
+          any_value(case when p_size < 5 then null when p_size > 40 then p_name || ' new' else p_name end) as part_name,
+          any_value(case when p_size < 5 then null else p_brand end) as brand
+        from lineitem left join part on p_partkey = l_partkey group by l_partkey""",
     "snowflake_enrich": f"""with {PRODUCTS} select tm_id as trademarkId, 'TM ' || tm_id as trademarkName,
           c1 as category1Id, 'C1 ' || c1 as category1Name, c2 as category2Id, 'C2 ' || c2 as category2Name,
           c3 as category3Id, 'C3 ' || c3 as category3Name, count(*) as sold
