@@ -4,6 +4,9 @@ A snapshot of the dimension is a table bucketed and sorted by its key: a join on
 and Spark shuffles just the other side (or neither, when the facts are grouped by the key already).  Rows that changed
 since the snapshot are few; they are joined apart and win over it.  So the cost of a lookup in a table of billions of rows
 is one read of the columns asked for, without an exchange or a sort.
+
+Adaptive execution does not split a hot key here, as one side of the join is not shuffled.  Group facts by the key first, so
+that a key is one row; facts that must stay single and have a hot key are better off with `lookup.dimension_join`.
 """
 
 from __future__ import annotations
