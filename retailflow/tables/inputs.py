@@ -122,6 +122,21 @@ def first_items(spark: SparkSession, folder: str) -> DataFrame:
     return keep_first(line_items(spark, folder), "id", ["l_shipdate", *ARRIVAL])
 
 
+# What the change rows of an item, and those of its activity and coupon, hold of the item besides `ARRIVAL`.
+ITEM = ["l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+LINK = ["l_orderkey", "l_discount", "l_tax"]
+
+
+def current_items(spark: SparkSession, folder: str, others: list[str] = ITEM) -> DataFrame:
+    """`latest_items` for change rows, which name an item by its id as text.
+
+    The whole row is the greatest of its id, so readers of the same columns ask for the same shuffle, which Spark makes
+    once, and a join on the id's text needs no other.
+    """
+    items = line_items(spark, folder).withColumn("id", F.col("id").cast("string"))
+    return items.groupBy("id").agg(F.max(F.struct("l_shipdate", *ARRIVAL, *others)).alias("_item")).select("id", "_item.*")
+
+
 def detail_rows(spark: SparkSession, folder: str, items: DataFrame) -> DataFrame:
     """Order details with their order's user, province and time."""
     orders = table(spark, folder, "orders")
@@ -152,13 +167,20 @@ DATABASE = "shop"
 
 def _changes(rows: DataFrame, source: str, kind: str, data: dict[str, str], old: dict[str, str] | None,
              ts: str) -> DataFrame:
-    """Change rows of one source table from SQL expressions."""
-    pairs = ", ".join(f"'{key}', cast({expr} as string)" for key, expr in data.items())
+    """Change rows of one source table from SQL expressions; one that names a column takes a column of text.
+
+    The values pass through a generator: a map of bare columns need not be built where only its values are read, and a
+    column that goes in is known as the one that comes out, so that its partitioning counts.
+    """
+    values = {key: expr if expr in rows.columns and rows.schema[expr].dataType.typeName() == "string" else f"_values.{key}"
+              for key, expr in data.items()}
+    made = ", ".join(f"cast({expr} as string) as {key}" for key, expr in data.items() if values[key] != expr)
+    pairs = ", ".join(f"'{key}', {value}" for key, value in values.items())
     before = (
         "map(" + ", ".join(f"'{k}', cast({e} as string)" for k, e in old.items()) + ")"
         if old else "cast(null as map<string, string>)"
     )
-    return rows.selectExpr(
+    return rows.selectExpr("*", f"explode(array(struct({made}))) as _values").selectExpr(
         f"'{DATABASE}' as `database`", f"'{source}' as `table`", f"{kind} as type",
         f"map({pairs}) as data", f"{before} as old", f"cast({ts} as string) as ts",
     )
@@ -189,7 +211,7 @@ def order_changes(spark: SparkSession, folder: str) -> DataFrame:
 def detail_changes(spark: SparkSession, folder: str) -> DataFrame:
     amount = "cast(l_extendedprice as decimal(18,2))"
     return _changes(
-        latest_items(spark, folder), "order_detail", "'insert'",
+        current_items(spark, folder, ITEM[:5]), "order_detail", "'insert'",
         {
             "id": "id", "order_id": "l_orderkey", "sku_id": "l_partkey",
             "sku_name": "concat('sku ', l_partkey)", "order_price": amount,
@@ -206,7 +228,7 @@ def detail_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 def activity_changes(spark: SparkSession, folder: str) -> DataFrame:
     return _changes(
-        latest_items(spark, folder).filter("l_discount >= 0.05"), "order_detail_activity", "'insert'",
+        current_items(spark, folder, LINK).filter("l_discount >= 0.05"), "order_detail_activity", "'insert'",
         {
             "id": "concat('a', id)", "order_id": "l_orderkey", "order_detail_id": "id",
             "activity_id": "l_suppkey", "activity_rule_id": "l_suppkey + 1000", "sku_id": "l_partkey",
@@ -218,7 +240,7 @@ def activity_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 def coupon_link_changes(spark: SparkSession, folder: str) -> DataFrame:
     return _changes(
-        latest_items(spark, folder).filter("l_tax >= 0.04"), "order_detail_coupon", "'insert'",
+        current_items(spark, folder, LINK).filter("l_tax >= 0.04"), "order_detail_coupon", "'insert'",
         {
             "id": "concat('c', id)", "order_id": "l_orderkey", "order_detail_id": "id",
             "coupon_id": "l_suppkey + 2000", "coupon_use_id": "l_suppkey + 3000", "sku_id": "l_partkey",
@@ -242,7 +264,7 @@ def payment_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def refund_request_changes(spark: SparkSession, folder: str) -> DataFrame:
-    items = latest_items(spark, folder).filter("l_returnflag = 'R'").join(
+    items = current_items(spark, folder).filter("l_returnflag = 'R'").join(
         table(spark, folder, "orders").select("o_orderkey", "o_custkey"),
         F.col("l_orderkey") == F.col("o_orderkey"), "inner",
     )
@@ -260,7 +282,7 @@ def refund_request_changes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def refund_payment_changes(spark: SparkSession, folder: str) -> DataFrame:
-    items = latest_items(spark, folder).filter("l_returnflag = 'R' and l_linestatus = 'F'")
+    items = current_items(spark, folder).filter("l_returnflag = 'R' and l_linestatus = 'F'")
     return _changes(
         items, "refund_payment", "'insert'",
         {
