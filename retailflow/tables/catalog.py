@@ -143,6 +143,10 @@ def retract_left_join(spark, folder):
     rows = joins.changelog_left_join(
         details, facts.order_activities(changes, inputs.DATABASE, [joins.EVENT_TIME]), ["id"], joins.ORDER_BOUND,
         "order_detail_activity_id")
+    # Both batches come out of one join, which is made once.
+    landed = scratch_path(spark, "left-join-rows")
+    rows.write.partitionBy(joins.VERSION).parquet(landed)
+    rows = spark.read.schema(rows.schema).parquet(landed)
     stored = keyed_table(
         scratch_path(spark, "left-join"), ["id", "order_detail_activity_id"], joins.VERSION, versioned=True, deleted=joins.DELETED)
     # The order of the batches does not matter: what was taken back stays so.
