@@ -32,3 +32,18 @@ def test_latest_item_without_a_key_stays(spark, tmp_path):
     found = inputs.detail_changes(spark, str(tmp_path)).select(F.col("data")["id"], F.col("data")["sku_num"]).collect()
     assert sorted(map(tuple, found), key=str) == [("11", "2"), (None, "4")]
     assert inputs.activity_changes(spark, str(tmp_path)).count() == 0
+
+
+def test_log_texts_are_not_stored_with_their_records(spark, tmp_path, monkeypatch):
+    from retailflow.tables import catalog
+
+    monkeypatch.setattr(catalog, "scratch_path", lambda session, name: str(tmp_path / name))
+    catalog.QUERIES["log_page"](spark, FOLDER)
+    stored = spark.read.parquet(str(tmp_path / "logs"))
+    assert not {"value", "dirty"} & set(stored.columns)
+    assert stored.count() < spark.read.parquet(f"{FOLDER}/events.parquet").count()
+
+
+def test_runs_are_cut_by_a_given_number_of_tasks(spark):
+    plan = entry_module.queries()["keyword_han"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
