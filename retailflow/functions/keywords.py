@@ -16,6 +16,8 @@ HAN_RUN = r"\p{IsHan}+"
 
 # Characters of a Han run that are cut into words together; a substring is counted off from its slice's beginning.
 SLICE = 64
+# Tasks per core that cut the distinct runs.
+TASKS = 4
 
 
 def _all(text: Column, pattern: str) -> Column:
@@ -86,7 +88,9 @@ def explode_words(df: DataFrame, text: str, words: DataFrame | None = None, word
         return df.select(*others, F.explode(found).alias(word))
     letters = df.select(*others, F.explode(letter_words(F.col(text))).alias(word))
     rows = df.select(*others, F.explode(han_runs(F.col(text))).alias("_run"))
-    runs = rows.select(F.col("_run").alias("run")).distinct().withColumn("run_id", F.unhex(F.md5("run")))
+    # Few bytes are much work here, and adaptive execution, which goes by bytes, leaves a number given alone.
+    runs = rows.select(F.col("_run").alias("run")).distinct().withColumn("run_id", F.unhex(F.md5("run"))).repartition(
+        TASKS * df.sparkSession.sparkContext.defaultParallelism, "run_id")
     per_run = han_run_words(runs, words).select(F.col("run_id").alias("_id"), F.col("word").alias(word))
     han = rows.select(*others, F.unhex(F.md5("_run")).alias("_id")).join(per_run, "_id")
     return letters.unionByName(han.select(*others, word))
