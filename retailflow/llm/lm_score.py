@@ -1,23 +1,23 @@
 """Score texts with a logistic mixture of hashed-context bit predictors.
 
-A text is a row of words (A-Z lower-cased) and an end.  Each word is coded bit by bit, with a space behind it, and
-each bit is predicted from counts in several hashed contexts: nothing, the last one, two, three and five bytes of
-the word, and the whole word so far.  A gate (how much three of the contexts know) picks the weights that mix the
-predictions in the logistic domain; an adaptive table then refines the mixed probability by what came of it before.
-A word's probability needs only the word, so each distinct word of the corpus is scored once and texts add them up.
-It is then mixed with the word's own share of the training tokens, by the weight under which the training words,
-each with one occurrence left out, are likeliest.
-
-As in the base score, words unseen in training are one class: ``score`` has the probability of an escape for them
-(the share of training tokens that were seen once), and ``spelled_score``, which the bits per byte come from, has
-their bits as well: it is the log10 probability of the whole text, which the base does not give.
-
-Learning: word counts over all training documents; from these the context counts of every word, however rare; then
-the weights, learned online over shards of all words with each word's own occurrence left out, and averaged.  The
-context tables have a fixed size, so what is broadcast does not grow; the word counts do, and are joined.  Frequent
-words (at most ``frequent`` of them, as none makes up less than that share of all tokens) are looked up from a
-broadcast, which gives the same numbers.  Words longer than ``PIECE`` bytes are coded piece by piece, each with
-contexts of its own, all pieces at once.
+A text is a row of words (A-Z lower-cased) and an end, and is scored bit by bit in its order.  Words of a dictionary (those that
+training texts hold at least twice, the ``frequent`` most frequent at most) are coded as in ``lm_text``: their bits are predicted
+in contexts of the words before them, over the whole text.  So is the sign that a word is none of these, which is then spelled.
+
+Spelling: each byte bit by bit, with a space behind the word, from counts in several hashed contexts: nothing, the last one, two,
+three and five bytes of the word, and the whole word so far.  A gate (how much three of the contexts know) picks the weights that
+mix the predictions in the logistic domain; an adaptive table then refines the mixed probability by what came of it before.
+The spelling needs only the word, so each distinct word is spelled once and joined to the texts that hold it.  It is mixed with the
+word's own share of the training words outside the dictionary, by the weight under which these, each with one occurrence left out,
+are likeliest; words unseen in training have the probability of being so and that of their spelling.
+
+``score`` is the log10 probability of the whole text: of every word in its place, spelled ones to their last bit.
+
+Learning: word counts over all training documents; from these the speller's context counts of every word, however rare, and from the
+texts those of ``lm_text``; then the weights of both, learned online over all words and all texts with each bit's own occurrence left
+out, and averaged.  Counts are taken before any text is scored, and scoring changes none.  The context tables have a fixed
+size, so what is broadcast does not grow.  Words longer than ``PIECE`` bytes are coded piece by piece, each with contexts of its
+own, all pieces at once.
 
 Defined results: a null or empty text is the end alone; every row is scored for itself, also rows that share an id or
 have none; without training documents every bit is even; an empty table gives no rows; other columns are ignored.
@@ -26,7 +26,6 @@ have none; without training documents every bit is even; an empty table gives no
 from __future__ import annotations
 
 import math
-import pickle
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -34,10 +33,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retailflow.llm import lm_text
 from retailflow.llm.common import batches, saved
+from retailflow.llm.lm_text import held_out, received, shipped, squash, tokens_of
 
 # Bytes of context of each predictor (-1: the whole word so far) and the bits of its table.
 ORDERS = (0, 1, 2, 3, 5, -1)
@@ -47,6 +49,9 @@ GATED = (3, 4, 5)
 LEVELS = (1, 8, 256)
 SETS = (len(LEVELS) + 1) ** len(GATED)
 BUCKETS = 33
+# Logits that a slot can lean to, and those of the bytes of a table, which hold the level as well.
+LEANS = np.linspace(-9.6, 9.6, 64, dtype=np.float32)
+VALUE = np.tile(LEANS, len(LEVELS) + 1)
 # Weights before learning: the longer contexts lead; the last one belongs to a constant input.
 START = np.array([0.0, 0.0, 0.1, 0.2, 0.4, 0.5, 0.0])
 BLOCK = 1 << 16
@@ -56,38 +61,29 @@ SHARD = 100_000
 END = 0x20
 
 
-def held_out(doc: int | None) -> bool:
-    return doc is not None and zlib.crc32(str(doc).encode()) % 7 == 2
-
-
-def tokens_of(text: str | None) -> list[bytes]:
-    """Words, then the end as an empty word."""
-    return [*(text or "").encode().lower().split(), b""]
-
-
 def count_words(documents: DataFrame, entries: int = 400_000) -> DataFrame:
-    """``word, c, c_all`` over all documents: occurrences in training documents and in all."""
-    schema = pa.schema([("word", pa.binary()), ("c", pa.int64()), ("c_all", pa.int64())])
+    """``word, c`` over all documents: occurrences in training documents, 0 for words of others."""
+    schema = pa.schema([("word", pa.binary()), ("c", pa.int64())])
 
     def run(parts):
         def rows():
-            train, other = Counter(), Counter()
+            train, other = Counter(), set()
             for part in parts:
                 for doc, text in zip(part.column(0).to_pylist(), part.column(1)):
                     (other if held_out(doc) else train).update(tokens_of(text.as_py()))
                     if len(train) + len(other) > entries:
-                        yield from ((w, n, n) for w, n in train.items())
-                        yield from ((w, 0, n) for w, n in other.items())
+                        yield from train.items()
+                        yield from ((w, 0) for w in other if w not in train)
                         train.clear()
                         other.clear()
-            yield from ((w, n, n) for w, n in train.items())
-            yield from ((w, 0, n) for w, n in other.items())
+            yield from train.items()
+            yield from ((w, 0) for w in other if w not in train)
 
         yield from batches(rows(), schema)
 
     counted = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "word binary, c long, c_all long")
-    return saved(counted.groupBy("word").agg(F.sum("c").alias("c"), F.sum("c_all").alias("c_all")), "words")
+        run, "word binary, c long")
+    return saved(counted.groupBy("word").agg(F.sum("c").alias("c")), "words")
 
 
 def pieces_of(words: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
@@ -138,26 +134,25 @@ def events(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndar
         # The last byte has a slot of its own for each node; the longer contexts are hashed.
         byte = (contexts[0] & np.uint64(255)) << np.uint64(8)
         hashed = np.stack(contexts[1:]) * shifted
-        node = np.ones(n, np.uint64)
+        node, rows = np.ones(n, np.uint64), owner[order[:n]]
         for bit in range(7, -1, -1):
             slots = np.empty((len(ORDERS), n), np.uint64)
             slots[0] = node
             np.bitwise_or(byte, node, out=slots[1])
-            x = hashed + node * multiply
-            x ^= x >> np.uint64(29)
-            x *= multiply
-            np.right_shift(x, np.uint64(64 - HASHED), out=slots[2:])
+            if bit % 4 == 3:  # four bits share a line of each hashed table
+                line = hashed + node * multiply
+                line ^= line >> np.uint64(29)
+                line *= multiply
+                line >>= np.uint64(64 - HASHED)
+                way = np.ones(n, np.uint64)
+            np.bitwise_xor(line, way, out=slots[2:])
             y = (here >> np.uint64(bit)) & np.uint64(1)
-            yield owner[order[:n]], slots.view(np.int64), y.view(np.int64)
-            node = node * np.uint64(2) + y
+            yield rows, slots.view(np.int64), y.view(np.int64)
+            node, way = node * np.uint64(2) + y, way * np.uint64(2) + y
         whole[:n] = (whole[:n] ^ (here + np.uint64(1))) * multiply
         whole[:n] ^= whole[:n] >> np.uint64(31)
 
 
-def squash(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -18, 18)))
-
-
 class Mixer:
     """Context counts, gated weights and the refining table."""
 
@@ -167,57 +162,67 @@ class Mixer:
         self.steps = np.full(self.weights.shape, 1e-4)  # squared steps so far, for the learning rate of each weight
         # Outcomes seen near each bucket of the mixed logit, for each node of the byte's bits: ones, all.
         self.refine = np.zeros((2, 256, BUCKETS)) if refine is None else refine
-        self.looked_up: dict[bool, tuple[list, list]] = {}
+        self.looked_up: dict[bool, list[np.ndarray]] = {}
 
-    def tables(self, own: bool) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Logit of every slot of each predictor, and how much the gated ones know there.
+    def tables(self, own: bool) -> list[np.ndarray]:
+        """A byte for every slot of each predictor: which way its counts lean, and how many there are.
 
-        With ``own`` there are two rows, for a bit that is 0 and for one that is 1: the bit's own occurrence is left out.
+        With ``own`` there are two side by side, for a bit that is 0 and for one that is 1: the bit's own occurrence is left out.
         """
         if own not in self.looked_up:
-            logits, levels = [], []
-            for k, (zero, one) in enumerate(self.counts):
+            out = []
+            for zero, one in self.counts:
                 sides = [(np.maximum(zero - 1, 0), one), (zero, np.maximum(one - 1, 0))] if own else [(zero, one)]
-                logits.append(np.concatenate(
-                    [np.clip(np.log((b + np.float32(0.02)) / (a + np.float32(0.02))), -12, 12) for a, b in sides]))
-                if k in GATED:
-                    levels.append(np.concatenate([sum((a + b >= x).astype(np.uint8) for x in LEVELS) for a, b in sides]))
-            self.looked_up[own] = logits, levels
+                rows = []
+                for a, b in sides:
+                    logit = np.clip(np.log((b + np.float32(0.02)) / (a + np.float32(0.02))), LEANS[0], LEANS[-1])
+                    lean = np.rint((logit - LEANS[0]) / (LEANS[1] - LEANS[0])).astype(np.uint8)
+                    rows.append(lean + sum((a + b >= x).astype(np.uint8) for x in LEVELS) * np.uint8(len(LEANS)))
+                out.append(np.stack(rows, 1).reshape(-1))
+            self.looked_up[own] = out
         return self.looked_up[own]
 
     def inputs(self, slots: np.ndarray, own: bool, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Logits of the predictors and the gate; with ``own`` the bit's own occurrence is left out."""
-        logits, levels = self.tables(own)
         x = np.full((len(ORDERS) + 1, slots.shape[1]), 0.3, np.float32)
         gate = np.zeros(slots.shape[1], np.int64)
-        known = iter(levels)
-        for k, table in enumerate(logits):
-            place = slots[k] + y * (len(table) // 2) if own else slots[k]
-            x[k] = table[place]
+        for k, table in enumerate(self.tables(own)):
+            state = table.take((slots[k] << 1) + y if own else slots[k]).astype(np.int64)
+            VALUE.take(state, out=x[k], mode="clip")
             if k in GATED:
-                gate = gate * (len(LEVELS) + 1) + next(known)[place]
+                gate = gate * (len(LEVELS) + 1) + state // len(LEANS)
         return x, gate
 
+    def mixed(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
+        weights = self.weights.T.astype(np.float32)
+        logit = weights[0].take(gate)
+        logit *= x[0]
+        for k in range(1, len(x)):
+            logit += weights[k].take(gate) * x[k]
+        return logit
+
     def near(self, logit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Lower bucket and the share of the upper one."""
-        place = (np.clip(logit, -8, 8) + 8) * (BUCKETS - 1) / 16
-        low = np.minimum(place.astype(np.int64), BUCKETS - 2)
-        return low, place - low
+        place = (np.clip(logit, -8, 7.999) + np.float32(8)) * np.float32((BUCKETS - 1) / 16)
+        low = place.astype(np.int64)
+        return low, place - low.astype(np.float32)
 
     def refined(self) -> np.ndarray:
         """What the refining table makes of each node and bucket."""
-        return (self.refine[0] + 50 * squash(np.linspace(-8, 8, BUCKETS))) / (self.refine[1] + 50)
+        return ((self.refine[0] + 50 * squash(np.linspace(-8, 8, BUCKETS))) / (self.refine[1] + 50)).astype(np.float32)
 
     def predict(self, logit: np.ndarray, node: np.ndarray, refined: np.ndarray) -> np.ndarray:
         low, part = self.near(logit)
-        adapted = (1 - part) * refined[node, low] + part * refined[node, low + 1]
+        low += node * BUCKETS
+        refined = refined.reshape(-1)
+        adapted = (1 - part) * refined.take(low) + part * refined.take(low + 1)
         return np.clip(0.5 * squash(logit) + 0.5 * adapted, 1e-6, 1 - 1e-6)
 
     def learn(self, words: list[bytes], counts: np.ndarray, rate: float) -> None:
         for rows, slots, y in events(words):
             weight = counts[rows].astype(float)
             x, gate = self.inputs(slots, True, y)
-            logit = np.einsum("nk,kn->n", self.weights[gate], x)
+            logit = self.mixed(x, gate)
             wrong = weight * (y - squash(logit))
             mass = np.bincount(gate, weight, minlength=SETS) + weight.mean() * 20
             for k in range(x.shape[0]):
@@ -225,29 +230,22 @@ class Mixer:
                 self.steps[:, k] += step * step
                 self.weights[:, k] += rate * step / np.sqrt(self.steps[:, k])
             low, part = self.near(logit)
-            node = slots[0]
-            place = node * BUCKETS + low
-            place, share = np.concatenate([place, place + 1]), np.concatenate([(1 - part) * weight, part * weight])
-            self.refine[0] += np.bincount(place, share * np.tile(y, 2), minlength=256 * BUCKETS).reshape(256, BUCKETS)
-            self.refine[1] += np.bincount(place, share, minlength=256 * BUCKETS).reshape(256, BUCKETS)
+            # Nodes of one depth are neighbours, so only their part of the table is touched.
+            least = 1 << (int(slots[0][0]).bit_length() - 1)
+            low += (slots[0] - least) * BUCKETS
+            span = slice(least, 2 * least)
+            for at, share in ((low, (1 - part) * weight), (low + 1, part * weight)):
+                self.refine[0, span] += np.bincount(at, share * y, minlength=least * BUCKETS).reshape(-1, BUCKETS)
+                self.refine[1, span] += np.bincount(at, share, minlength=least * BUCKETS).reshape(-1, BUCKETS)
 
     def score(self, words: list[bytes]) -> np.ndarray:
         """log10 of each word's probability."""
         out, refined = np.zeros(len(words)), self.refined()
         for rows, slots, y in events(words):
             x, gate = self.inputs(slots, False, y)
-            p = self.predict(np.einsum("nk,kn->n", self.weights[gate], x), slots[0], refined)
-            out += np.bincount(rows, np.log10(np.where(y == 1, p, 1 - p)), minlength=len(words))
-        return out
-
-
-def _shipped(model: object) -> bytes:
-    """A model as it is broadcast; tables that few words have filled compress well."""
-    return zlib.compress(pickle.dumps(model), 1)
-
-
-def _received(data: bytes):
-    return pickle.loads(zlib.decompress(data))
+            p = self.predict(self.mixed(x, gate), slots[0], refined)
+            out += np.bincount(rows, np.log(np.where(y, p, 1 - p)), minlength=len(words))
+        return out / math.log(10)
 
 
 def _chunks(words: list[bytes], size: int = 20_000) -> Iterator[slice]:
@@ -298,16 +296,16 @@ def train(words: DataFrame, shards: int, rate: float = 0.05) -> Mixer:
     """Context counts, then weights learned online over every shard of the words and averaged by their tokens."""
     spark = words.sparkSession
     tables = context_counts(words, shards)
-    sent = spark.sparkContext.broadcast(_shipped(tables))
+    sent = spark.sparkContext.broadcast(shipped(tables))
 
     def learn(parts):
-        mixer, mass = Mixer(_received(sent.value)), 0
+        mixer, mass = Mixer(received(sent.value)), 0
         for part in parts:
             # Words of all frequencies in each step.
             part = part.sample(frac=1, random_state=1)
             names, counts = [bytes(w) for w in part["word"]], part["c"].to_numpy()
             mass += int(counts.sum())
-            for at in _chunks(names, 8_000):
+            for at in _chunks(names, 16_000):
                 mixer.learn(names[at], counts[at], rate)
         yield pd.DataFrame({"mass": [mass], "weights": [(mixer.weights * mass).tobytes()],
                             "refine": [mixer.refine.tobytes()]})
@@ -329,102 +327,100 @@ def train(words: DataFrame, shards: int, rate: float = 0.05) -> Mixer:
 
 
 def score_words(words: DataFrame, mixer: Mixer, shards: int) -> DataFrame:
-    """``word, c, c_all, score`` for every word."""
-    sent = words.sparkSession.sparkContext.broadcast(_shipped((mixer.counts, mixer.weights, mixer.refine)))
+    """``word, c, score`` for every word."""
+    sent = words.sparkSession.sparkContext.broadcast(shipped((mixer.counts, mixer.weights, mixer.refine)))
 
     def run(parts):
-        here = Mixer(*_received(sent.value))
+        here = Mixer(*received(sent.value))
         for part in parts:
             part = part.iloc[part["word"].str.len().argsort(kind="stable")].reset_index(drop=True)
             names = [bytes(w) for w in part["word"]]
             part["score"] = np.concatenate([here.score(names[at]) for at in _chunks(names)] or [np.zeros(0)])
-            yield part[["word", "c", "c_all", "score"]]
+            yield part[["word", "c", "score"]]
 
-    return saved(words.repartition(shards).mapInPandas(run, "word binary, c long, c_all long, score double"), "scored")
+    return saved(words.repartition(shards).mapInPandas(run, "word binary, c long, score double"), "scored")
 
 
-def finish_words(scored: DataFrame, n: int) -> DataFrame:
-    """Mix in the words' own shares; ``spelled`` is a word's probability, ``score`` takes unseen words for one class."""
+def finish_words(scored: DataFrame, recurring: int) -> DataFrame:
+    """Probabilities of words outside the dictionary, given that it is one: spelled, mixed with the word's own share.
+
+    ``recurring``: occurrences of words that are in the dictionary with two, which tell how often a word seen once comes again.
+    """
     bits = F.pow(F.lit(10.0), "score")
-    shares = (0.0, 0.5, 0.8, 0.9, 0.95, 0.98)
-    likely = scored.where("c > 0").agg(
-        F.count(F.when(F.col("c") == 1, 1)).alias("once"),
+    shares = (0.98, 0.95, 0.9, 0.8, 0.5, 0.0)
+    n, once = scored.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") == 1, 1))).first()
+    likely = scored.where("c > 1").agg(
         *(F.sum(F.col("c") * F.log(x * (F.col("c") - 1) / max(1, n) + (1 - x) * bits)).alias(str(x)) for x in shares)).first()
     share = max(shares, key=lambda x: (likely[str(x)] is not None, likely[str(x)] or 0.0)) if n else 0.0
-    escape = min(max((likely["once"] + 1) / (n + 2), 1e-9), 0.5)
-    known = math.log10(1 - escape) + F.log10(share * F.col("c") / max(1, n) + (1 - share) * bits)
-    return scored.select(
-        "word", "c", "c_all", F.when(F.col("c") > 0, known).otherwise(math.log10(escape)).alias("score"),
-        F.when(F.col("c") > 0, known).otherwise(F.col("score") + math.log10(escape)).alias("spelled"))
+    unseen = min(max((once + 1) / (once + max(recurring, n - once) + 2), 1e-9), 0.99)
+    known = math.log10(1 - unseen) + F.log10(share * F.col("c") / max(1, n) + (1 - share) * bits)
+    return scored.select("word", "c", F.when(F.col("c") > 0, known).otherwise(F.col("score") + math.log10(unseen)).alias("spelled"))
 
 
 def score_documents(documents: DataFrame, frequent: int = 200_000) -> DataFrame:
     """Per row: whether it was held out, token counts, base and model log10 probability, bits per byte."""
     words = count_words(documents)
-    n, v, n_all, n_words = words.agg(
-        F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1)), F.coalesce(F.sum("c_all"), F.lit(0)),
-        F.count("*")).first()
+    n, v, n_words = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1)), F.count("*")).first()
+    # The dictionary: words seen at least twice, so that those seen once teach where unseen ones are to be expected.
+    top = words.where("c > 1").orderBy(F.desc("c"), "word").limit(frequent).select("word", "c").toArrow()
+    known, counts = top.column("word").to_pylist(), top.column("c").to_pylist()
+    outside = F.lit(True)
+    if known:
+        outside = (F.col("c") < counts[-1]) | ((F.col("c") == counts[-1]) & (F.col("word") > F.lit(known[-1])))
+    code = lm_text.Code(known, counts, n - sum(counts))
+    mixer = lm_text.train(documents, code)
     shards = max(12, math.ceil(n_words / SHARD))
-    scored = finish_words(score_words(words, train(words, shards), shards), n)
-    # Words of at least that many occurrences: no more than ``frequent`` can have them.
-    least = max(1, math.ceil(n_all / frequent))
-    common = {bytes(r.word): (r.c, r.score, r.spelled) for r in scored.where(F.col("c_all") >= least).collect()}
-    sent = documents.sparkSession.sparkContext.broadcast(pickle.dumps(common))
+    speller = train(words, shards)
+    rare = finish_words(score_words(words.where(outside), speller, shards), 2 * counts.count(2))
+    sent = documents.sparkSession.sparkContext.broadcast(shipped(mixer))
     whole = math.log10(n + v + 1)
-    sums = ("n_tokens", "n_known", "n_bytes", "base_score", "score", "spelled_score")
+    sums = ("n_tokens", "n_known", "n_bytes", "base_score", "score")
     kind = "row long, doc_id long, word binary, times long, n_tokens long, n_known long, n_bytes long, " \
-           "base_score double, score double, spelled_score double"
-
-    def looked_up(part: pa.RecordBatch, known: dict) -> pa.RecordBatch:
-        """One record per text with what its frequent words add up to, and one per text and other word."""
-        places, words, times, own = [], [], [], []
-        for at, text in enumerate(part.column(2)):
-            text = text.as_py()
-            tokens = tokens_of(text)
-            seen, base, score, whole_text = 0, 0.0, 0.0, 0.0
-            for w, t in Counter(tokens).items():
-                found = known.get(w)
-                if found is None:
-                    places.append(at)
-                    words.append(w)
-                    times.append(t)
-                else:
-                    c, s, spelled = found
-                    seen += t if c else 0
-                    base += t * (math.log10(c + 1) - whole)
-                    score += t * s
-                    whole_text += t * spelled
-            own.append((len(tokens), seen, len((text or "").encode()), base, score, whole_text))
-        rare, texts = len(places), part.num_rows
-        row = pa.concat_arrays([part.column(0).take(pa.array(places, pa.int64())), part.column(0)])
-        doc = pa.concat_arrays([pa.nulls(rare, pa.int64()), part.column(1)])
-        columns = [pa.array([None] * rare + list(c), pa.int64() if k < 3 else pa.float64())
-                   for k, c in enumerate(zip(*own) if own else [[]] * 6)]
+           "base_score double, score double"
+
+    def looked_up(part: pa.RecordBatch, rows: list[int], tokens: list[bytes], sizes: list[int], mixer: lm_text.TextMixer,
+                  index: dict) -> pa.RecordBatch:
+        """One record per text with what the code of its words comes to, and one per text and word outside the dictionary."""
+        ids, contexts = lm_text.encoded(tokens, sizes, index, mixer.code.hashes)
+        starts = np.cumsum(sizes) - sizes
+        base = np.append(np.log10(mixer.code.counts + 1) - whole, 0.0)[ids]
+        texts = part.column(2).take(pa.array(rows, pa.int64()))
+        own = [np.array(sizes), np.add.reduceat((ids < len(index)).astype(np.int64), starts),
+               pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64),
+               np.add.reduceat(base, starts), np.add.reduceat(mixer.score(ids, contexts), starts)]
+        others = np.flatnonzero(ids == len(index))
+        owner = np.repeat(rows, sizes)[others].tolist()
+        found = Counter(zip(owner, (tokens[i] for i in others.tolist())))
+        row = part.column(0).take(pa.array([at for at, _ in found] + rows, pa.int64()))
+        doc = pa.concat_arrays([pa.nulls(len(found), pa.int64()), part.column(1).take(pa.array(rows, pa.int64()))])
+        columns = [pa.concat_arrays([pa.nulls(len(found), c.type), c]) for c in map(pa.array, own)]
         # A text's own record has a word that holds a space, different in each, and so joins nothing and is no hot key.
-        marks = [b" %d" % r for r in part.column(0).to_pylist()]
+        marks = [b" %d" % r for r in row[len(found):].to_pylist()]
         return pa.RecordBatch.from_arrays(
-            [row, doc, pa.array(words + marks, pa.binary()), pa.array(times + [0] * texts, pa.int64()), *columns],
+            [row, doc, pa.array([w for _, w in found] + marks, pa.binary()),
+             pa.array([*found.values(), *([0] * len(rows))], pa.int64()), *columns],
             names=["row", "doc_id", "word", "times", *sums])
 
     def run(parts):
-        known = pickle.loads(sent.value)
+        mixer = received(sent.value)
+        index = mixer.code.index()
         for part in parts:
-            yield looked_up(part, known)
+            for rows, tokens, sizes in lm_text.groups(part, 1, 2, False):
+                yield looked_up(part, rows, tokens, sizes, mixer, index)
 
     # The number of a row is fixed by its place in the table's files, also when a task is repeated.
     rows = documents.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string")
     ).mapInArrow(run, kind)
-    rare = scored.where(F.col("c_all") < least).select("word", "c", F.col("score").alias("word_class"), "spelled")
     count, none = F.coalesce(F.col("c"), F.lit(0)), F.lit(0.0)
     extra = {
         "n_known": F.when(count > 0, F.col("times")).otherwise(0),
-        "base_score": F.col("times") * (F.log10(count + 1) - F.lit(whole)),
-        "score": F.col("times") * F.coalesce("word_class", none), "spelled_score": F.col("times") * F.coalesce("spelled", none)}
+        "base_score": F.when(F.col("times") > 0, F.col("times") * (F.log10(count + 1) - F.lit(whole))).otherwise(0.0),
+        "score": F.col("times") * F.coalesce("spelled", none)}
     joined = rows.join(rare, "word", "left").groupBy("row").agg(F.max("doc_id").alias("doc_id"), *(
         F.sum(F.coalesce(F.col(c), F.lit(0)) + extra.get(c, F.lit(0))).alias(c) for c in sums))
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
     return joined.select(
         "doc_id", F.coalesce(held, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
-        F.lit(n).cast("long").alias("train_tokens"), "base_score", "score", "spelled_score",
-        (-F.col("spelled_score") / math.log10(2) / F.greatest(F.col("n_bytes"), F.lit(1))).alias("bits_per_byte"))
+        F.lit(n).cast("long").alias("train_tokens"), "base_score", "score", F.col("score").alias("spelled_score"),
+        (-F.col("score") / math.log10(2) / F.greatest(F.col("n_bytes"), F.lit(1))).alias("bits_per_byte"))
