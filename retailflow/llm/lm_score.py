@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,8 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailflow.llm import lm_text
-from retailflow.llm.common import batches, saved
-from retailflow.llm.lm_text import held_out, received, shipped, squash, tokens_of
+from retailflow.llm.common import saved
+from retailflow.llm.lm_text import FINE, SQUASHED, STEP, cell, held_out, received, shipped, squash, tokens_of
 
 # Bytes of context of each predictor (-1: the whole word so far) and the bits of its table.
 ORDERS = (0, 1, 2, 3, 5, -1)
@@ -52,6 +51,7 @@ BUCKETS = 33
 # Logits that a slot can lean to, and those of the bytes of a table, which hold the level as well.
 LEANS = np.linspace(-9.6, 9.6, 64, dtype=np.float32)
 VALUE = np.tile(LEANS, len(LEVELS) + 1)
+LEVEL = np.repeat(np.arange(len(LEVELS) + 1), len(LEANS))
 # Weights before learning: the longer contexts lead; the last one belongs to a constant input.
 START = np.array([0.0, 0.0, 0.1, 0.2, 0.4, 0.5, 0.0])
 BLOCK = 1 << 16
@@ -63,23 +63,21 @@ END = 0x20
 
 def count_words(documents: DataFrame, entries: int = 400_000) -> DataFrame:
     """``word, c`` over all documents: occurrences in training documents, 0 for words of others."""
-    schema = pa.schema([("word", pa.binary()), ("c", pa.int64())])
+    def summed(held: list[pa.Table]) -> pa.Table:
+        found = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("c", "sum")])
+        return pa.table({"word": found["word"], "c": found["c_sum"]})
 
     def run(parts):
-        def rows():
-            train, other = Counter(), set()
-            for part in parts:
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1)):
-                    (other if held_out(doc) else train).update(tokens_of(text.as_py()))
-                    if len(train) + len(other) > entries:
-                        yield from train.items()
-                        yield from ((w, 0) for w in other if w not in train)
-                        train.clear()
-                        other.clear()
-            yield from train.items()
-            yield from ((w, 0) for w in other if w not in train)
-
-        yield from batches(rows(), schema)
+        held = []
+        for part in parts:
+            for rows, tokens, sizes in lm_text.groups(part, 0, 1, False):
+                trains = np.array([not held_out(d) for d in part.column(0).take(pa.array(rows)).to_pylist()], np.int64)
+                held.append(summed([pa.table({"word": tokens, "c": np.repeat(trains, sizes)})]))
+                if sum(map(len, held)) > entries:
+                    yield from summed(held).to_batches(20_000)
+                    held = []
+        if held:
+            yield from summed(held).to_batches(20_000)
 
     counted = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         run, "word binary, c long")
@@ -163,6 +161,15 @@ class Mixer:
         # Outcomes seen near each bucket of the mixed logit, for each node of the byte's bits: ones, all.
         self.refine = np.zeros((2, 256, BUCKETS)) if refine is None else refine
         self.looked_up: dict[bool, list[np.ndarray]] = {}
+        self.made: tuple | None = None
+
+    def shipped(self, own: bool) -> bytes:
+        """As it is broadcast: with the bytes of its slots, without the counts that they come from."""
+        self.tables(own)
+        return shipped(self)
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"counts": None}
 
     def tables(self, own: bool) -> list[np.ndarray]:
         """A byte for every slot of each predictor: which way its counts lean, and how many there are.
@@ -182,70 +189,64 @@ class Mixer:
             self.looked_up[own] = out
         return self.looked_up[own]
 
-    def inputs(self, slots: np.ndarray, own: bool, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Logits of the predictors and the gate; with ``own`` the bit's own occurrence is left out."""
-        x = np.full((len(ORDERS) + 1, slots.shape[1]), 0.3, np.float32)
-        gate = np.zeros(slots.shape[1], np.int64)
-        for k, table in enumerate(self.tables(own)):
-            state = table.take((slots[k] << 1) + y if own else slots[k]).astype(np.int64)
-            VALUE.take(state, out=x[k], mode="clip")
-            if k in GATED:
-                gate = gate * (len(LEVELS) + 1) + state // len(LEANS)
-        return x, gate
-
-    def mixed(self, x: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        weights = self.weights.T.astype(np.float32)
-        logit = weights[0].take(gate)
-        logit *= x[0]
-        for k in range(1, len(x)):
-            logit += weights[k].take(gate) * x[k]
-        return logit
-
-    def near(self, logit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lower bucket and the share of the upper one."""
-        place = (np.clip(logit, -8, 7.999) + np.float32(8)) * np.float32((BUCKETS - 1) / 16)
-        low = place.astype(np.int64)
-        return low, place - low.astype(np.float32)
-
-    def refined(self) -> np.ndarray:
-        """What the refining table makes of each node and bucket."""
-        return ((self.refine[0] + 50 * squash(np.linspace(-8, 8, BUCKETS))) / (self.refine[1] + 50)).astype(np.float32)
-
-    def predict(self, logit: np.ndarray, node: np.ndarray, refined: np.ndarray) -> np.ndarray:
-        low, part = self.near(logit)
-        low += node * BUCKETS
-        refined = refined.reshape(-1)
-        adapted = (1 - part) * refined.take(low) + part * refined.take(low + 1)
-        return np.clip(0.5 * squash(logit) + 0.5 * adapted, 1e-6, 1 - 1e-6)
-
     def learn(self, words: list[bytes], counts: np.ndarray, rate: float) -> None:
+        """Each bit as if its own occurrence had not been counted."""
         for rows, slots, y in events(words):
-            weight = counts[rows].astype(float)
-            x, gate = self.inputs(slots, True, y)
-            logit = self.mixed(x, gate)
-            wrong = weight * (y - squash(logit))
-            mass = np.bincount(gate, weight, minlength=SETS) + weight.mean() * 20
+            weight = counts.take(rows).astype(np.float32)
+            x = np.full((len(ORDERS) + 1, len(y)), 0.3, np.float32)
+            gate = np.zeros(len(y), np.int64)
+            for k, table in enumerate(self.tables(True)):
+                state = table.take((slots[k] << 1) + y, mode="clip")
+                VALUE.take(state, out=x[k], mode="clip")
+                if k in GATED:
+                    gate *= len(LEVELS) + 1
+                    gate += LEVEL.take(state)
+            logit = np.einsum("kn,kn->n", self.weights.T.astype(np.float32).take(gate, axis=1, mode="clip"), x)
+            x *= weight * (y.astype(np.float32) - SQUASHED.take(cell(logit), mode="clip"))
+            mass = np.bincount(gate, weight, minlength=SETS) + float(weight.mean()) * 20
             for k in range(x.shape[0]):
-                step = np.bincount(gate, wrong * x[k], minlength=SETS) / mass
+                step = np.bincount(gate, x[k], minlength=SETS) / mass
                 self.steps[:, k] += step * step
                 self.weights[:, k] += rate * step / np.sqrt(self.steps[:, k])
-            low, part = self.near(logit)
-            # Nodes of one depth are neighbours, so only their part of the table is touched.
+            # The nearer bucket of the mixed logit.  Nodes of one depth are neighbours, so only their part of the table is touched.
             least = 1 << (int(slots[0][0]).bit_length() - 1)
-            low += (slots[0] - least) * BUCKETS
-            span = slice(least, 2 * least)
-            for at, share in ((low, (1 - part) * weight), (low + 1, part * weight)):
-                self.refine[0, span] += np.bincount(at, share * y, minlength=least * BUCKETS).reshape(-1, BUCKETS)
-                self.refine[1, span] += np.bincount(at, share, minlength=least * BUCKETS).reshape(-1, BUCKETS)
+            place = (np.clip(logit, -8, 8) + np.float32(8)) * np.float32((BUCKETS - 1) / 16) + np.float32(0.5)
+            place = (((slots[0] - least) * BUCKETS + place.astype(np.int64)) << 1) + y
+            seen = np.bincount(place, weight, minlength=2 * least * BUCKETS).reshape(least, BUCKETS, 2)
+            self.refine[0, least:2 * least] += seen[:, :, 1]
+            self.refine[1, least:2 * least] += seen.sum(2)
+
+    def prepared(self) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """What scoring looks up: each predictor's part of the mixed logit by gate and state, the constant's by gate, and log10 of
+        the final probability by node, logit and bit."""
+        weights = self.weights.astype(np.float32)
+        at = (np.arange(FINE) + 0.5) / STEP - FINE / 2 / STEP
+        refined = (self.refine[0] + 50 * squash(np.linspace(-8, 8, BUCKETS))) / (self.refine[1] + 50)
+        where = (np.clip(at, -8, 7.999) + 8) * ((BUCKETS - 1) / 16)
+        low, part = where.astype(int), where % 1
+        p = np.clip(0.5 * squash(at) + 0.5 * ((1 - part) * refined[:, low] + part * refined[:, low + 1]), 1e-6, 1 - 1e-6)
+        final = np.log10(np.stack([1 - p, p], 2)).astype(np.float32)
+        return [np.outer(w, VALUE).reshape(-1) for w in weights.T[:-1]], weights[:, -1] * np.float32(0.3), final.reshape(-1)
 
     def score(self, words: list[bytes]) -> np.ndarray:
         """log10 of each word's probability."""
-        out, refined = np.zeros(len(words)), self.refined()
+        if self.made is None:
+            self.made = self.prepared()
+        parts, rest, final = self.made
+        out = np.zeros(len(words))
         for rows, slots, y in events(words):
-            x, gate = self.inputs(slots, False, y)
-            p = self.predict(self.mixed(x, gate), slots[0], refined)
-            out += np.bincount(rows, np.log(np.where(y, p, 1 - p)), minlength=len(words))
-        return out / math.log(10)
+            states = [table.take(slots[k], mode="clip") for k, table in enumerate(self.tables(False))]
+            gate = np.zeros(len(y), np.int64)
+            for k in GATED:
+                gate *= len(LEVELS) + 1
+                gate += LEVEL.take(states[k])
+            logit = rest.take(gate, mode="clip")
+            gate <<= 8
+            for part, state in zip(parts, states):
+                logit += part.take(gate + state, mode="clip")
+            place = ((slots[0] * FINE + cell(logit)) << 1) + y
+            out += np.bincount(rows, final.take(place, mode="clip"), minlength=len(words))
+        return out
 
 
 def _chunks(words: list[bytes], size: int = 20_000) -> Iterator[slice]:
@@ -263,7 +264,7 @@ def context_counts(words: DataFrame, shards: int) -> list[np.ndarray]:
     """Counts of zeros and ones of every context over all training words."""
 
     def partial(parts):
-        tables = [np.zeros((2, 1 << b)) for b in BITS]
+        tables = [np.zeros(2 << b) for b in BITS]  # zeros and ones of a slot side by side
         for part in parts:
             part = part.iloc[part["word"].str.len().argsort(kind="stable")]
             names, counts = [bytes(w) for w in part["word"]], part["c"].to_numpy(float)
@@ -271,10 +272,10 @@ def context_counts(words: DataFrame, shards: int) -> list[np.ndarray]:
                 for rows, slots, y in events(names[at]):
                     weight = counts[at][rows]
                     for k, table in enumerate(tables):
-                        np.add.at(table.reshape(-1), y * table.shape[1] + slots[k], weight)
+                        np.add.at(table, (slots[k] << 1) + y, weight)
         yield pd.DataFrame(
-            [(k, i, zlib.compress(table[:, i:i + BLOCK].astype(np.float32).tobytes(), 1))
-             for k, table in enumerate(tables) for i in range(0, table.shape[1], BLOCK)],
+            [(k, i, zlib.compress(table[2 * i:2 * (i + BLOCK)].astype(np.float32).reshape(-1, 2).T.tobytes(), 1))
+             for k, table in enumerate(tables) for i in range(0, len(table) // 2, BLOCK)],
             columns=["table", "block", "data"])
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
@@ -296,10 +297,10 @@ def train(words: DataFrame, shards: int, rate: float = 0.05) -> Mixer:
     """Context counts, then weights learned online over every shard of the words and averaged by their tokens."""
     spark = words.sparkSession
     tables = context_counts(words, shards)
-    sent = spark.sparkContext.broadcast(shipped(tables))
+    sent = spark.sparkContext.broadcast(Mixer(tables).shipped(True))
 
     def learn(parts):
-        mixer, mass = Mixer(received(sent.value)), 0
+        mixer, mass = received(sent.value), 0
         for part in parts:
             # Words of all frequencies in each step.
             part = part.sample(frac=1, random_state=1)
@@ -328,10 +329,10 @@ def train(words: DataFrame, shards: int, rate: float = 0.05) -> Mixer:
 
 def score_words(words: DataFrame, mixer: Mixer, shards: int) -> DataFrame:
     """``word, c, score`` for every word."""
-    sent = words.sparkSession.sparkContext.broadcast(shipped((mixer.counts, mixer.weights, mixer.refine)))
+    sent = words.sparkSession.sparkContext.broadcast(mixer.shipped(False))
 
     def run(parts):
-        here = Mixer(*received(sent.value))
+        here = received(sent.value)
         for part in parts:
             part = part.iloc[part["word"].str.len().argsort(kind="stable")].reset_index(drop=True)
             names = [bytes(w) for w in part["word"]]
@@ -378,35 +379,35 @@ def score_documents(documents: DataFrame, frequent: int = 200_000) -> DataFrame:
     kind = "row long, doc_id long, word binary, times long, n_tokens long, n_known long, n_bytes long, " \
            "base_score double, score double"
 
-    def looked_up(part: pa.RecordBatch, rows: list[int], tokens: list[bytes], sizes: list[int], mixer: lm_text.TextMixer,
-                  index: dict) -> pa.RecordBatch:
+    def looked_up(part: pa.RecordBatch, rows: np.ndarray, tokens: pa.Array, sizes: np.ndarray, mixer: lm_text.TextMixer,
+                  index: pa.Array, shares: np.ndarray) -> pa.RecordBatch:
         """One record per text with what the code of its words comes to, and one per text and word outside the dictionary."""
         ids, contexts = lm_text.encoded(tokens, sizes, index, mixer.code.hashes)
         starts = np.cumsum(sizes) - sizes
-        base = np.append(np.log10(mixer.code.counts + 1) - whole, 0.0)[ids]
-        texts = part.column(2).take(pa.array(rows, pa.int64()))
-        own = [np.array(sizes), np.add.reduceat((ids < len(index)).astype(np.int64), starts),
+        texts = part.column(2).take(pa.array(rows))
+        own = [sizes, np.add.reduceat((ids < len(index)).astype(np.int64), starts),
                pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64),
-               np.add.reduceat(base, starts), np.add.reduceat(mixer.score(ids, contexts), starts)]
+               np.add.reduceat(shares[ids], starts), np.add.reduceat(mixer.score(ids, contexts), starts)]
         others = np.flatnonzero(ids == len(index))
-        owner = np.repeat(rows, sizes)[others].tolist()
-        found = Counter(zip(owner, (tokens[i] for i in others.tolist())))
-        row = part.column(0).take(pa.array([at for at, _ in found] + rows, pa.int64()))
-        doc = pa.concat_arrays([pa.nulls(len(found), pa.int64()), part.column(1).take(pa.array(rows, pa.int64()))])
-        columns = [pa.concat_arrays([pa.nulls(len(found), c.type), c]) for c in map(pa.array, own)]
+        found = pa.table({"at": np.repeat(rows, sizes)[others], "word": tokens.take(pa.array(others))}).group_by(
+            ["at", "word"], use_threads=False).aggregate([([], "count_all")]).combine_chunks()
+        n = len(found)
+        row = part.column(0).take(pa.concat_arrays([*found["at"].chunks, pa.array(rows)]))
+        doc = pa.concat_arrays([pa.nulls(n, pa.int64()), part.column(1).take(pa.array(rows))])
+        columns = [pa.concat_arrays([pa.nulls(n, c.type), c]) for c in map(pa.array, own)]
         # A text's own record has a word that holds a space, different in each, and so joins nothing and is no hot key.
-        marks = [b" %d" % r for r in row[len(found):].to_pylist()]
+        marks = pa.array([b" %d" % r for r in row[n:].to_pylist()], pa.binary())
         return pa.RecordBatch.from_arrays(
-            [row, doc, pa.array([w for _, w in found] + marks, pa.binary()),
-             pa.array([*found.values(), *([0] * len(rows))], pa.int64()), *columns],
+            [row, doc, pa.concat_arrays([*found["word"].chunks, marks]),
+             pa.concat_arrays([*found["count_all"].chunks, pa.array(np.zeros(len(rows), np.int64))]), *columns],
             names=["row", "doc_id", "word", "times", *sums])
 
     def run(parts):
         mixer = received(sent.value)
-        index = mixer.code.index()
+        index, shares = mixer.code.index(), np.append(np.log10(mixer.code.counts + 1) - whole, 0.0)
         for part in parts:
             for rows, tokens, sizes in lm_text.groups(part, 1, 2, False):
-                yield looked_up(part, rows, tokens, sizes, mixer, index)
+                yield looked_up(part, rows, tokens, sizes, mixer, index, shares)
 
     # The number of a row is fixed by its place in the table's files, also when a task is repeated.
     rows = documents.select(
