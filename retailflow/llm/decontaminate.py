@@ -1,8 +1,9 @@
 """Find benchmark passages in a corpus with a positional inverted index.
 
 The corpus is cut into shards of bounded size.  A shard's row in the stored index holds the postings of all its
-terms: sorted positions over the whole shard, one gap between documents.  Benchmark windows are sent to every
-shard in blocks of bounded size (a stated query set against all rows).  In a shard, a window starts from the
+terms: sorted positions over the whole shard, one gap between documents.  Shards are written in row groups of a few
+and searched one at a time, so that a task holds few of them however many its partition has.  Benchmark windows are
+sent to every shard in blocks of bounded size (a stated query set against all rows).  In a shard, a window starts from the
 postings of its rarest term, shifted by the term's offset, and is intersected with the shifted postings of the
 next rarest, until nothing is left or all terms agree: an exact phrase match.  With ``slop`` each term may stand
 that many words away from its place: a proximity match.
@@ -16,6 +17,7 @@ rows; other columns are ignored.
 from __future__ import annotations
 
 import pickle
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -33,9 +35,11 @@ _TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in _WORD else 0x20 for b
 
 SHARDS = pa.schema([
     ("shard", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())),
-    ("terms", pa.list_(pa.binary())), ("ends", pa.binary()), ("positions", pa.binary()),
+    ("terms", pa.binary()), ("ends", pa.binary()), ("positions", pa.binary()),
 ])
-SHARDS_SQL = "shard long, doc_ids array<long>, sizes array<int>, terms array<binary>, ends binary, positions binary"
+SHARDS_SQL = "shard long, doc_ids array<long>, sizes array<int>, terms binary, ends binary, positions binary"
+# Shards written or read at once; Parquet goes by bytes only once a row group has a hundred rows.
+GROUP = 4
 HITS = pa.schema([
     ("shard", pa.int64()), ("ordinal", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()),
     ("spans", pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))), ("items", pa.list_(pa.string())),
@@ -68,7 +72,7 @@ def build_index(documents: DataFrame, shard_words: int = 500_000) -> DataFrame:
         places = np.arange(len(words), dtype=np.int32) + np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         order = np.argsort(codes, kind="stable")
         ends = np.cumsum(np.bincount(codes, minlength=len(terms))).astype(np.int32)
-        return number, ids, sizes, terms, ends.tobytes(), places[order].astype(np.int32).tobytes()
+        return number, ids, sizes, b" ".join(terms), ends.tobytes(), places[order].astype(np.int32).tobytes()
 
     def run(parts):
         part = TaskContext.get().partitionId()
@@ -87,10 +91,10 @@ def build_index(documents: DataFrame, shard_words: int = 500_000) -> DataFrame:
             if ids:
                 yield shard_row((part << 32) | number, ids, sizes, words)
 
-        yield from batches(rows(), SHARDS, size=4)
+        yield from batches(rows(), SHARDS, size=GROUP)
 
     return saved(documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-                 .mapInArrow(run, SHARDS_SQL), "index")
+                 .mapInArrow(run, SHARDS_SQL), "index", **{"parquet.block.row.count.limit": GROUP})
 
 
 def item_windows(benchmark: DataFrame, width: int) -> DataFrame:
@@ -115,10 +119,12 @@ class Queries:
         for window, item in pairs:
             items.setdefault(window, []).extend([] if item is None else [item])
         self.items = list(items.values())
-        split = [w.split(b" ") for w in items]
-        self.terms = list(dict.fromkeys(t for w in split for t in w))
-        code = {t: i for i, t in enumerate(self.terms)}
-        self.windows = [np.array([code[t] for t in w]) for w in split]
+        code: dict[bytes, int] = {}
+        codes, ends = array("i"), array("q", [0])
+        for window in items:
+            codes.extend(code.setdefault(t, len(code)) for t in window.split(b" "))
+            ends.append(len(codes))
+        self.terms, self.codes, self.ends = list(code), np.array(codes, np.int32), ends
 
     def search(self, terms: list[bytes], ends: np.ndarray, positions: np.ndarray, slop: int = 0):
         """``(window number, starts)`` for each window that occurs in the shard."""
@@ -126,7 +132,8 @@ class Queries:
         place = [at.get(t, -1) for t in self.terms]
         lists = [positions[ends[i - 1] if i else 0:ends[i]] if i >= 0 else positions[:0] for i in place]
         sizes = np.array([len(x) for x in lists])
-        for number, window in enumerate(self.windows):
+        for number in range(len(self.items)):
+            window = self.codes[self.ends[number]:self.ends[number + 1]]
             counts = sizes[window]
             if not counts.all():
                 continue
@@ -162,12 +169,13 @@ def search_index(index: DataFrame, pairs: list[tuple[bytes, str | None]], slop:
 
         def rows():
             for batch in parts:
-                for r in batch.to_pylist():
+                for at in range(batch.num_rows):
+                    [r] = batch.slice(at, 1).to_pylist()
                     sizes = np.array(r["sizes"], np.int64)
                     begins = np.cumsum(sizes + 1) - sizes - 1
                     spans, items = defaultdict(list), defaultdict(set)
                     for number, starts, width in queries.search(
-                            r["terms"], np.frombuffer(r["ends"], np.int32), np.frombuffer(r["positions"], np.int32), slop):
+                            r["terms"].split(b" "), np.frombuffer(r["ends"], np.int32), np.frombuffer(r["positions"], np.int32), slop):
                         docs = np.searchsorted(begins, starts, side="right") - 1
                         for doc, begin in zip(docs.tolist(), (starts - begins[docs]).tolist()):
                             spans[doc].append((max(0, begin), min(begin + width, int(sizes[doc]))))

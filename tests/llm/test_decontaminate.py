@@ -6,6 +6,7 @@ import hashlib
 import re
 
 import pandas as pd
+import pyarrow.parquet as pq
 
 import corpus_pipeline
 from retailflow.llm import decontaminate, queries
@@ -91,3 +92,13 @@ def test_hot_passage(spark):
     docs = [(i, f"start{i} " + "one two three four five six seven eight nine ten" + f" end{i}") for i in range(400)]
     items = [(1, "one two three four five six seven eight nine ten")]
     assert run(spark, docs, items, shard_words=500) == brute(docs, items)
+
+
+def test_shards_are_stored_and_read_few_at_a_time(spark):
+    docs = spark.createDataFrame([(i, f"one two w{i} w{i % 7}") for i in range(300)], "doc_id long, text string").coalesce(1)
+    index = decontaminate.build_index(docs, shard_words=10)
+    files = [pq.ParquetFile(path.removeprefix("file://")) for path in index.inputFiles()]
+    groups = [f.metadata.row_group(i).num_rows for f in files for i in range(f.num_row_groups)]
+    assert sum(groups) == 150 and max(groups) <= decontaminate.GROUP
+    hits = decontaminate.search_index(index, [(b"one two w299", "1"), (b"w5 w5", "2")])
+    assert sorted((r.doc_id, r["items"]) for r in hits.collect() if r["items"]) == [(5, ["2"]), (299, ["1"])]
